@@ -15,33 +15,28 @@ from pyspark.sql import functions as F
 
 from knnrec.functions.columns import snap
 
-# Rows of one key per side of a block before the key is split, and the
-# largest number of split keys. The second bound keeps the broadcast list
-# of hot keys small at any data size: the threshold grows with the input
-# so that at most ``MAX_HOT_KEYS`` keys can exceed it.
+# A key with more rows than ``BLOCK_ROWS`` on a side is split into
+# ceil(rows / BLOCK_ROWS) blocks per side. At most ``MAX_HOT_KEYS`` keys
+# (the hottest) are split, which bounds the broadcast list of hot keys at
+# any data size; results are exact whichever keys are split.
 BLOCK_ROWS = 20_000
 MAX_HOT_KEYS = 100_000
 
 
 def hot_key_blocks(
-    left: DataFrame,
-    right: DataFrame,
+    frames: Sequence[DataFrame],
     keys: Sequence[str],
     block_rows: int = BLOCK_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """``(keys..., _nb)`` for keys whose rows must be split into ``_nb``
-    blocks per side. Only hot keys are listed; their number is at most
-    ``max_hot_keys``, which bounds the broadcast."""
-    counts = (
-        left.select(*keys).unionByName(right.select(*keys))
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    )
-    total = counts.agg(F.sum("_cnt")).scalar()
-    per_block = F.greatest(F.lit(2 * block_rows), F.ceil(total / F.lit(max_hot_keys)))
-    return counts.where(F.col("_cnt") > per_block).select(
-        *keys, F.ceil(F.col("_cnt") / per_block).cast("int").alias("_nb")
-    )
+    """``(keys..., _nb)`` for the keys whose rows (largest side) exceed
+    ``block_rows``. Counting is a partial aggregate over the key columns
+    only; the result is capped at the ``max_hot_keys`` hottest keys."""
+    counted = [f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")) for f in frames]
+    counts = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1]).groupBy(*keys).agg(
+        F.max("_cnt").alias("_cnt"))
+    hot = counts.where(F.col("_cnt") > block_rows).orderBy(F.col("_cnt").desc()).limit(max_hot_keys)
+    return hot.select(*keys, F.ceil(F.col("_cnt") / F.lit(block_rows)).cast("int").alias("_nb"))
 
 
 def blocked_join(
@@ -53,14 +48,17 @@ def blocked_join(
     condition: Callable[[], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    self_join: bool = False,
 ) -> DataFrame:
     """Inner equi-join on ``keys`` (same names on both sides; all other
     column names must differ). A hot key with ``nb`` blocks sends each left
     row to block row ``hash(left_id) % nb`` of every block column and each
     right row to block column ``hash(right_id) % nb`` of every block row,
     so each (left, right) pair still meets exactly once, in one of
-    ``nb * nb`` tasks. Cold keys keep a single block: no replication."""
-    hot = F.broadcast(hot_key_blocks(left, right, keys, block_rows, max_hot_keys))
+    ``nb * nb`` tasks. Cold keys keep a single block: no replication.
+    ``self_join``: both sides have the same key counts (count once)."""
+    frames = [left] if self_join else [left, right]
+    hot = F.broadcast(hot_key_blocks(frames, keys, block_rows, max_hot_keys))
 
     def tagged(df: DataFrame) -> DataFrame:
         out = df.join(hot, list(keys), "left")
@@ -122,7 +120,7 @@ def similarity_half(
         cond = F.col("u") < F.col("v")
         return cond & pair_filter() if pair_filter is not None else cond
 
-    joined = blocked_join(left, right, keys, "u", "v", condition=condition, **blocking)
+    joined = blocked_join(left, right, keys, "u", "v", condition=condition, self_join=True, **blocking)
     return aggregate_products(joined, scenario)
 
 

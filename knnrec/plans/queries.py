@@ -26,10 +26,10 @@ from knnrec.operators.similarity import (
 )
 from knnrec.plans import params as p
 from knnrec.plans.approximate import (
-    blocked_similarities, candidate_ratio, fit_approx, per_part_topk, replication_sweep,
+    candidate_ratio, candidate_similarities, fit_approx, level_candidates, part_arrays,
+    per_part_topk, replication_sweep,
 )
 from knnrec.plans.exact import base_frames, fit_exact
-from knnrec.operators.partition import user_part_arrays
 from knnrec.sources.ratings import (
     dedup_ratings, labelled_split, parse_rating_lines, rating_lines, rating_view,
     raw_line_ratings, reject_rating_lines, split_train_test,
@@ -39,9 +39,10 @@ from knnrec.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Persistence inside a registered query: each query is one action, and
-# exchange reuse already shares identical sub-plans within it.
-PERSIST = "none"
+# Intermediates read by several consumers of one query (deviations, unit
+# rows, candidate similarities, neighbours) are persisted; the caller
+# clears the cache between queries.
+PERSIST = "persist"
 
 
 def _split(spark, sf):
@@ -235,26 +236,27 @@ def q_partition_unit_ratings(spark, sf):
     return unit.join(a.select("u", "part"), "u").select("part", "u", "i", out(F.col("w")).alias("w"))
 
 
-def _blocked(spark, sf):
+def _candidates(spark, sf):
     train = _split(spark, sf)[0]
     stats, devs, unit, _, n_users = base_frames(train, PERSIST)
-    arrays = user_part_arrays(stats.select("u"), p.PARTITIONS, [p.REPLICATION])
-    return blocked_similarities(unit, arrays), n_users
+    arrays = part_arrays(stats.select("u"), p.PARTITIONS, p.REPLICATION)
+    cands = candidate_similarities(unit, arrays, p.PARTITIONS, p.REPLICATION)
+    return level_candidates(cands, [p.REPLICATION]), n_users
 
 
 def q_similarity_blocked(spark, sf):
-    half, _ = _blocked(spark, sf)
-    return mirror(half.select("u", "v", "sim"))
+    cands, _ = _candidates(spark, sf)
+    return mirror(cands.select("u", "v", "sim"))
 
 
 def q_topk_per_partition(spark, sf):
-    half, n = _blocked(spark, sf)
-    return per_part_topk(half, p.K, n).drop("level")
+    cands, n = _candidates(spark, sf)
+    return per_part_topk(cands, p.K, n).drop("level")
 
 
 def q_merge_topk(spark, sf):
-    half, n = _blocked(spark, sf)
-    lists = per_part_topk(half, p.K, n).drop("level", "rank")
+    cands, n = _candidates(spark, sf)
+    lists = per_part_topk(cands, p.K, n).drop("level", "rank")
     return merge_topk(lists, p.K)
 
 
