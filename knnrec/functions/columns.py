@@ -38,7 +38,10 @@ def predicted_rating(avg: Column, wdev: Column, lo: float = RATING_LO, hi: float
 
 
 def snap(x: Column, digits: int = SIM_DIGITS) -> Column:
-    return F.round(x, digits)
+    """Round half away from zero in double arithmetic (no per-row decimal
+    conversion, unlike ``round``): ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``."""
+    m = float(10 ** digits)
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(m) + F.lit(0.5)) / F.lit(m)
 
 
 def out(x: Column, digits: int = OUT_DIGITS) -> Column:

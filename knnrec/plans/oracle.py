@@ -8,6 +8,12 @@ from __future__ import annotations
 from knnrec.plans import params as p
 
 LO = "CAST(1 AS DOUBLE)"
+
+
+def snap_sql(x: str) -> str:
+    return f"(sign({x}) * floor(abs({x}) * 1e9 + 0.5) / 1e9)"
+
+
 HI = "CAST(5 AS DOUBLE)"
 
 
@@ -45,10 +51,11 @@ unit AS (
 
 SIMS = """
 half AS (
-  SELECT a.u AS u, b.u AS v, round(sum(a.w * b.w), 9) AS sim
-  FROM unit a JOIN unit b ON a.i = b.i AND a.u < b.u
-  GROUP BY a.u, b.u
-  HAVING round(sum(a.w * b.w), 9) <> 0),
+  SELECT u, v, sim FROM (
+    SELECT a.u AS u, b.u AS v, """ + snap_sql("sum(a.w * b.w)") + """ AS sim
+    FROM unit a JOIN unit b ON a.i = b.i AND a.u < b.u
+    GROUP BY a.u, b.u) x
+  WHERE sim <> 0),
 sims AS (SELECT u, v, sim FROM half UNION ALL SELECT v AS u, u AS v, sim FROM half)"""
 
 
@@ -232,9 +239,9 @@ def oracle_queries() -> dict[str, str]:
         "FROM train a JOIN train b ON a.i = b.i GROUP BY a.u, b.u HAVING sum(a.r * b.r) <> 0")
     q["similarity_all_pairs"] = with_(*BASE, SIMS) + "SELECT u, v, sim FROM sims"
     q["similarity_for_users"] = with_(*BASE) + (
-        "SELECT a.u AS u, b.u AS v, round(sum(a.w * b.w), 9) AS sim "
+        "SELECT u, v, sim FROM (SELECT a.u AS u, b.u AS v, " + snap_sql("sum(a.w * b.w)") + " AS sim "
         "FROM unit a JOIN unit b ON a.i = b.i AND a.u <> b.u "
-        "WHERE a.u IN (SELECT u FROM test) GROUP BY a.u, b.u HAVING round(sum(a.w * b.w), 9) <> 0")
+        "WHERE a.u IN (SELECT u FROM test) GROUP BY a.u, b.u) x WHERE sim <> 0")
     q["similarity_lookup"] = with_(*BASE, SIMS) + (
         "SELECT x.u, x.v, coalesce(s.sim, 0) AS sim FROM "
         "(SELECT DISTINCT a.u AS u, b.u AS v FROM test a JOIN test b ON a.i = b.i AND a.u <> b.u) x "

@@ -22,7 +22,7 @@ from knnrec.operators.predict import (
     recommend_top_n, score_all_items, score_pairs, weighted_deviation,
 )
 from knnrec.operators.similarity import (
-    mirror, similarity_for_users, similarity_half, similarity_lookup, sparse_matmul,
+    blocked_join, mirror, similarity_for_users, similarity_half, similarity_lookup, sparse_matmul,
 )
 from knnrec.plans import params as p
 from knnrec.plans.approximate import (
@@ -165,9 +165,12 @@ def q_similarity_for_users(spark, sf):
 
 def q_similarity_lookup(spark, sf):
     _, test, unit = _unit(spark, sf)
+    # Pairs of users who rated the same item in the test split: a
+    # per-item self-join, so a popular item is split into blocks.
     a = test.select("u", "i")
     b = test.select(F.col("u").alias("v"), "i")
-    pairs = a.join(b, "i").where(F.col("u") != F.col("v")).select("u", "v").distinct()
+    pairs = blocked_join(a, b, ["i"], "u", "v", condition=lambda: F.col("u") != F.col("v"),
+                         self_join=True).select("u", "v").distinct()
     return similarity_lookup(mirror(similarity_half(unit)), pairs)
 
 
