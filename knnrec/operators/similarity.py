@@ -131,17 +131,14 @@ def aggregate_products(joined: DataFrame, scenario: Sequence[str] = (), extra_ag
     return sims.where(F.col("sim") != 0)
 
 
-def mirror(half: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Both directions of each unordered pair, from one scan (a generator,
-    not a union)."""
+def mirror(half: DataFrame) -> DataFrame:
+    """Both directions of each unordered pair: a union of two projections
+    (no per-row array allocation, which a generator would need; the half
+    table is usually persisted, so the second scan is cheap)."""
     other = [c for c in half.columns if c not in ("u", "v")]
-    both = F.inline(F.array(
-        F.struct(F.col("u").alias("_a"), F.col("v").alias("_b")),
-        F.struct(F.col("v").alias("_a"), F.col("u").alias("_b")),
-    ))
-    return half.select(*other, both).select(
-        F.col("_a").alias("u"), F.col("_b").alias("v"), *other
-    )
+    forward = half.select("u", "v", *other)
+    backward = half.select(F.col("v").alias("u"), F.col("u").alias("v"), *other)
+    return forward.unionByName(backward)
 
 
 def similarity_for_users(unit: DataFrame, users: DataFrame, **blocking) -> DataFrame:
