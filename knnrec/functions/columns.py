@@ -37,13 +37,26 @@ def predicted_rating(avg: Column, wdev: Column, lo: float = RATING_LO, hi: float
     return avg + wdev * scale(avg + wdev, avg, lo, hi)
 
 
-def snap(x: Column, digits: int = SIM_DIGITS) -> Column:
-    """Round half away from zero in double arithmetic (no per-row decimal
-    conversion, unlike ``round``): ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``."""
+def round_half_away(x: Column, digits: int) -> Column:
+    """``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: rounds the binary value
+    in double arithmetic (no per-row decimal conversion, and the same
+    result as ``std::round(x * 10^d) / 10^d`` in other engines; ``round``
+    would instead round the shortest decimal string of ``x``)."""
     m = float(10 ** digits)
     return F.signum(x) * F.floor(F.abs(x) * F.lit(m) + F.lit(0.5)) / F.lit(m)
 
 
+def snap(x: Column, digits: int = SIM_DIGITS) -> Column:
+    return round_half_away(x, digits)
+
+
 def out(x: Column, digits: int = OUT_DIGITS) -> Column:
-    """Reported floating value (rounded so engines can be compared)."""
-    return F.round(x, digits)
+    """Reported floating value, rounded so engines can be compared; adding
+    +0.0 turns a negative zero into zero."""
+    return round_half_away(x, digits) + F.lit(0.0)
+
+
+def hundredths(x: Column) -> Column:
+    """A two-decimal amount as an exact integer count of hundredths, so that
+    sums do not depend on the order in which tasks add them."""
+    return F.round(x * F.lit(100)).cast("long")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.functions.columns import out
+from knnrec.functions.columns import hundredths, out
 
 
 def days_until_buying_wins(price: Column, daily_rent: Column, daily_own_cost: Column | float = 0.0) -> Column:
@@ -35,11 +35,16 @@ def running_daily_cost(watts: Column, price_per_kwh: Column) -> Column:
 
 def part_daily_rent(lineitem: DataFrame) -> DataFrame:
     """``(l_partkey, daily_rent)``: discounted revenue per distinct ship day.
-    The distinct count is planned as a two-level aggregate keyed by
-    (part, day) first, so a hot part is spread over its days."""
+
+    Revenue is summed exactly, in ten-thousandths (price in hundredths
+    times the kept share in percent), so the result does not depend on
+    summation order. The distinct count is planned as a two-level
+    aggregate keyed by (part, day) first, so a hot part is spread over
+    its days."""
+    revenue = hundredths(F.col("l_extendedprice")) * hundredths(F.lit(1.0) - F.col("l_discount"))
     return lineitem.groupBy("l_partkey").agg(
-        (F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-         / F.count_distinct("l_shipdate")).alias("daily_rent")
+        (F.sum(revenue).cast("double") / F.count_distinct("l_shipdate").cast("double")
+         / F.lit(10000.0)).alias("daily_rent")
     )
 
 
@@ -101,7 +106,8 @@ def budget_units(
     shipped = lineitem.select("l_suppkey", "l_partkey").distinct()
     price = shipped.join(part.select("p_partkey", "p_retailprice"),
                          F.col("l_partkey") == F.col("p_partkey")).groupBy("l_suppkey").agg(
-        F.avg("p_retailprice").alias("unit_price"))
+        (F.sum(hundredths(F.col("p_retailprice"))).cast("double") / F.count(F.lit(1)).cast("double")
+         / F.lit(100.0)).alias("unit_price"))
     budget = F.greatest(F.col("s_acctbal"), F.lit(0.0))
     units = F.floor(budget / F.col("unit_price")).cast("long")
     joined = supplier.select("s_suppkey", "s_acctbal").join(price, F.col("s_suppkey") == F.col("l_suppkey"))

@@ -25,7 +25,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 5)
+        return repr(v)
     if isinstance(v, dict):
         return tuple(sorted((k, norm(x)) for k, x in v.items()))
     if isinstance(v, (list, tuple)):
