@@ -225,3 +225,26 @@ def test_dataset_shape_and_sums(spark):
     assert as_dict(st.sum_along_axis(train, 0), ["i"], "total")[(1,)] == 11.0
     summ = st.rating_summary(train).where(F.col("u") == 2).first()
     assert summ.mean == 3.0 and summ.std == 1.0
+
+
+def test_hot_key_cap_leaves_results_exact(spark):
+    # Only the hottest key is split; the other hot keys join unsplit.
+    rows = random_ratings(40, 6, 0.8, seed=12)
+    train = ratings_df(spark, rows)
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    plain = as_dict(similarity_half(unit), ["u", "v"], "sim")
+    capped = as_dict(similarity_half(unit, block_rows=3, max_hot_keys=1), ["u", "v"], "sim")
+    assert capped == plain
+
+
+def test_report_sink_writes_json(spark, tmp_path):
+    import json
+
+    from knnrec.sources.report import as_json, write_report
+
+    df = spark.createDataFrame([(1, 0.5)], "k long, mae double")
+    doc = json.loads(as_json(df).first().report)
+    assert doc == {"k": 1, "mae": 0.5}
+    out = str(tmp_path / "answers")
+    write_report(df, out)
+    assert spark.read.json(out).first().mae == 0.5
