@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     # Split a hot join key even when that costs one more shuffle (the
     # joins here are usually followed by an aggregate on the same key).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort for a shuffled join only when AQE has measured
+    # every partition below this size; larger (or skewed) partitions keep
+    # the spillable sort-merge join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
