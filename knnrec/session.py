@@ -52,6 +52,20 @@ def build_session(
     return spark
 
 
+def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run: enough initial shuffle
+    partitions that each holds about ``partition_bytes`` of the input
+    (AQE coalesces small ones and splits skewed ones at run time), at
+    least two waves of tasks, and scan splits of the same size."""
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
