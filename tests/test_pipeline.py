@@ -248,3 +248,12 @@ def test_report_sink_writes_json(spark, tmp_path):
     out = str(tmp_path / "answers")
     write_report(df, out)
     assert spark.read.json(out).first().mae == 0.5
+
+
+def test_declared_user_count_adds_zero_slots(spark):
+    # With 5 declared users instead of 4, u2's row has one more zero entry,
+    # so its negative neighbour no longer fits in k = 2 slots.
+    model = fit_exact(ratings_df(spark, TINY), 2, n_users=5)
+    nb = {(r.u, r.v) for r in model.neighbors.collect()}
+    assert (2, 3) not in nb and (2, 1) in nb and (4, 1) not in nb
+    model.unpersist()
