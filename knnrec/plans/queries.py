@@ -30,6 +30,7 @@ from knnrec.plans.approximate import (
     per_part_topk, replication_sweep,
 )
 from knnrec.plans.exact import base_frames, fit_exact
+from knnrec.session import materialize
 from knnrec.sources.ratings import (
     dedup_ratings, labelled_split, parse_rating_lines, rating_lines, rating_view,
     raw_line_ratings, reject_rating_lines, split_train_test,
@@ -45,8 +46,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 PERSIST = "persist"
 
 
+def _ratings(spark, sf):
+    # Train and test are two filters of one view: persisting it scans and
+    # joins lineitem/orders once for both.
+    return materialize(rating_view(spark, sf), PERSIST)
+
+
 def _split(spark, sf):
-    return split_train_test(rating_view(spark, sf))
+    return split_train_test(_ratings(spark, sf))
 
 
 def _exact(spark, sf, k=p.K):
