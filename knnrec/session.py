@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark import StorageLevel
@@ -104,7 +103,3 @@ def release(*frames: DataFrame) -> None:
         if df is not None and df.is_cached:
             df.unpersist(blocking=False)
 
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
