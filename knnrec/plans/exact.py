@@ -69,6 +69,6 @@ def fit_exact(
     stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi)
     half = materialize(similarity_half(unit, **blocking), persist)
     n = F.lit(n_users) if n_users is not None else n_train_users
-    neighbors = materialize(slot_topk(mirror(half), k, n), persist)
-    return KnnModel(stats, devs, neighbors, global_avg, n, k, (),
-                    [stats, devs, unit, half, neighbors])
+    pinned = [stats, devs, unit, half]
+    neighbors = materialize(slot_topk(mirror(half), k, n, persist=persist, pinned=pinned), persist)
+    return KnnModel(stats, devs, neighbors, global_avg, n, k, (), pinned + [neighbors])
