@@ -270,3 +270,24 @@ def test_checkpoint_mode_cuts_lineage_and_keeps_results(spark):
     plan = pinned.neighbors._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_score_all_items_with_split_neighbours(spark):
+    rows = random_ratings(25, 8, 0.6, seed=19)
+    model = fit_exact(ratings_df(spark, rows), 6)
+    plain = as_dict(score_all_items(model), ["u", "i"], "prediction")
+    split = as_dict(score_all_items(model, block_rows=2), ["u", "i"], "prediction")
+    assert split == pytest.approx(plain, abs=1e-12)
+    model.unpersist()
+
+
+def test_similarity_for_users_matches_all_pairs(spark):
+    from knnrec.operators.similarity import similarity_for_users
+
+    rows = random_ratings(20, 10, 0.5, seed=23)
+    train = ratings_df(spark, rows)
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    every = as_dict(mirror(similarity_half(unit)), ["u", "v"], "sim")
+    users = spark.createDataFrame([(2,), (5,), (11,)], "u long")
+    some = as_dict(similarity_for_users(unit, users, block_rows=2), ["u", "v"], "sim")
+    assert some == {key: s for key, s in every.items() if key[0] in (2, 5, 11)}
