@@ -40,9 +40,10 @@ from knnrec.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Intermediates read by several consumers of one query (deviations, unit
-# rows, candidate similarities, neighbours) are persisted; the caller
-# clears the cache between queries.
+# Intermediates read by several consumers of one query (rating view,
+# deviations, unit rows, pair similarities, neighbours) are persisted. A
+# later query with the same sub-plan reuses them; ``clearCache()`` (as in
+# bench.py) or LRU eviction releases them.
 PERSIST = "persist"
 
 
