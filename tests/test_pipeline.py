@@ -291,3 +291,18 @@ def test_similarity_for_users_matches_all_pairs(spark):
     users = spark.createDataFrame([(2,), (5,), (11,)], "u long")
     some = as_dict(similarity_for_users(unit, users, block_rows=2), ["u", "v"], "sim")
     assert some == {key: s for key, s in every.items() if key[0] in (2, 5, 11)}
+
+
+def test_one_item_rated_by_everyone_is_split(spark):
+    from knnrec.operators.similarity import hot_key_blocks
+
+    # item 0 is rated by all 120 users (a third of the rows); the rest are sparse
+    rows = [(u, 0, float(1 + u % 5)) for u in range(120)]
+    rows += [(u, 1 + (u * 7 + j) % 40, float(1 + (u + j) % 5)) for u in range(120) for j in range(2)]
+    train = ratings_df(spark, rows)
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    hot = {r.i: r._nb for r in hot_key_blocks([unit.select("i")], ["i"], block_rows=25).collect()}
+    assert hot == {0: 5}
+    plain = as_dict(similarity_half(unit), ["u", "v"], "sim")
+    split = as_dict(similarity_half(unit, block_rows=25), ["u", "v"], "sim")
+    assert split == plain
