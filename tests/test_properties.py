@@ -1,0 +1,35 @@
+"""Randomised cross-check against the dense brute force."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st_
+
+from knnrec.operators.predict import score_pairs
+from knnrec.plans.exact import fit_exact
+from tests.conftest import ratings_df
+from tests.fixtures import dense_reference, random_ratings
+from tests.test_pipeline import brute_predictions
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    n_users=st_.integers(3, 14),
+    n_items=st_.integers(2, 9),
+    density=st_.floats(0.2, 0.9),
+    k=st_.integers(1, 16),
+    seed=st_.integers(0, 10_000),
+)
+def test_exact_knn_matches_dense_brute_force(spark, n_users, n_items, density, k, seed):
+    rows = random_ratings(n_users, n_items, density, seed)
+    expected, *_ = dense_reference(rows, k)
+    model = fit_exact(ratings_df(spark, rows), k)
+    got = {}
+    for r in model.neighbors.collect():
+        got.setdefault(r.u, set()).add((r.v, round(r.sim, 9)))
+    assert got == {u: s for u, s in expected.items() if s}
+    pairs = [(u, i) for u in range(n_users + 1) for i in range(n_items + 1)]
+    want = brute_predictions(rows, k, pairs)
+    df = spark.createDataFrame(pairs, "u long, i long")
+    pred = {(r.u, r.i): r.prediction for r in score_pairs(df, model).collect()}
+    assert pred == pytest.approx(want, abs=1e-9)
+    model.unpersist()
