@@ -306,3 +306,39 @@ def test_one_item_rated_by_everyone_is_split(spark):
     plain = as_dict(similarity_half(unit), ["u", "v"], "sim")
     split = as_dict(similarity_half(unit, block_rows=25), ["u", "v"], "sim")
     assert split == plain
+
+
+def test_hot_user_under_forced_skew_splitting(spark):
+    # user 0 holds a third of all rows; AQE thresholds are lowered so that
+    # skew-join splitting really happens at this size (the executed plan
+    # then shows skewed sort-merge joins).
+    rows = [(0, i, float(1 + i % 5)) for i in range(60)]
+    rows += [(u, (u * 3 + j) % 60, float(1 + (u + j) % 5)) for u in range(1, 41) for j in range(3)]
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64b",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        k = 4
+        model = fit_exact(ratings_df(spark, rows), k)
+        expected, *_ = dense_reference(rows, k)
+        got = {}
+        for r in model.neighbors.collect():
+            got.setdefault(r.u, set()).add((r.v, round(r.sim, 9)))
+        assert got == {u: s for u, s in expected.items() if s}
+        pairs = [(0, i) for i in range(0, 61, 3)] + [(u, 7) for u in range(41)]
+        want = brute_predictions(rows, k, pairs)
+        pred = as_dict(score_pairs(spark.createDataFrame(pairs, "u long, i long"), model), ["u", "i"], "prediction")
+        assert pred == pytest.approx(want, abs=1e-9)
+        model.unpersist()
+    finally:
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
