@@ -55,13 +55,14 @@ def _pairs(spark: SparkSession, text: str, left: str, right: str) -> DataFrame:
 
 
 def knn_report(spark: SparkSession, args: argparse.Namespace, approximate: bool) -> DataFrame:
-    train = materialize(read_rating_text(spark, args.train, args.sep), "persist")
+    train = materialize(read_rating_text(spark, args.train, args.sep), args.persist)
     test = read_rating_text(spark, args.test, args.sep)
     n_users = args.users if args.users else None
     if approximate:
-        model = fit_approx(train, args.k, args.partitions, args.replication, n_users=n_users)
+        model = fit_approx(train, args.k, args.partitions, args.replication, n_users=n_users,
+                           persist=args.persist)
     else:
-        model = fit_exact(train, args.k, n_users=n_users)
+        model = fit_exact(train, args.k, n_users=n_users, persist=args.persist)
     sims = similarity_lookup(model.neighbors, _pairs(spark, args.sims, "u", "v").drop("name"))
     sims = sims.join(_pairs(spark, args.sims, "u", "v"), ["u", "v"]).select("name", "sim")
     preds = score_pairs(_pairs(spark, args.predict, "u", "i"), model).select("name", "prediction")
@@ -99,6 +100,8 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--sims", default="", help="pairs like 1:864,1:886")
         p.add_argument("--predict", default="", help="pairs like 1:1,327:2")
         p.add_argument("--master", default=None)
+        p.add_argument("--persist", choices=["persist", "checkpoint", "none"], default="persist",
+                       help="checkpoint: write intermediates to spark.checkpoint.dir (cuts lineage)")
         if name == "approximate":
             p.add_argument("--partitions", type=int, default=10)
             p.add_argument("--replication", type=int, default=2)

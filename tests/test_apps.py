@@ -27,7 +27,7 @@ def test_knn_app_on_text_files(spark, tmp_path, app):
     args = [app, "--train", train, "--test", test, "--json", out, "--k", "2", "--sep", "::",
             "--sims", "2:3,2:4,1:1", "--predict", "4:2"]
     if app == "approximate":
-        args += ["--partitions", "3", "--replication", "3"]
+        args += ["--partitions", "3", "--replication", "3", "--persist", "checkpoint"]
     main(args)
     row = _read(spark, out)
     # ids are 1-based on the command line: 2:3 is the pair (1, 2) of TINY
