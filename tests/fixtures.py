@@ -72,7 +72,8 @@ def dense_reference(rows, k, lo=1.0, hi=5.0):
     avg = R.sum(1) / M.sum(1)
     A = avg[:, None]
     scale = np.where(R > A, hi - A, np.where(R < A, A - lo, 1.0))
-    D = np.where(M > 0, (R - A) / scale, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):  # unrated cells are masked out
+        D = np.where(M > 0, (R - A) / scale, 0.0)
     norm = np.sqrt((D * D).sum(1))
     W = np.divide(D, norm[:, None], out=np.zeros_like(D), where=norm[:, None] > 0)
     S = np.round(W @ W.T, 9)
