@@ -342,6 +342,21 @@ SELECT u, i, round(prediction, 6) AS prediction, CAST(rn AS BIGINT) AS rank FROM
   SELECT u, i, prediction, row_number() OVER (PARTITION BY u ORDER BY prediction DESC, i) AS rn
   FROM sa_pred x WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.u = x.u AND t.i = x.i)) y
 WHERE rn <= {p.TOP_N}"""
+    q["report_json"] = with_(*EXACT, pred_exact) + f""",
+best AS (SELECT u, v, sim FROM neighbors WHERE rank = 1 ORDER BY sim DESC, u LIMIT 1),
+shape AS (
+  SELECT count(DISTINCT u) AS n_users, count(DISTINCT i) AS n_items, count(*) AS n_ratings FROM train),
+ex AS (SELECT round(avg(abs(r - prediction)), 6) AS mae, count(*) AS n_test FROM pred),
+ua AS (
+  SELECT round(avg(abs(t.r - coalesce(s.avg_rating, g.global_avg))), 6) AS mae
+  FROM test t LEFT JOIN user_stats s ON t.u = s.u CROSS JOIN gstats g)
+SELECT CAST(to_json({{
+  'meta': {{'k': {p.K}, 'n_users': shape.n_users, 'n_items': shape.n_items,
+            'n_ratings': shape.n_ratings, 'n_test': ex.n_test}},
+  'exact': {{'mae_exact': ex.mae, 'mae_user_avg': ua.mae,
+             'best_pair': {{'u': best.u, 'v': best.v, 'sim': best.sim}}}}}}) AS VARCHAR) AS report
+FROM shape CROSS JOIN ex CROSS JOIN ua CROSS JOIN best"""
+    q["report_json"] = q["report_json"].replace("\n,\nbest AS", ",\nbest AS")
     q["breakeven_days"] = with_(RENT) + f"""
 SELECT p_partkey, round(p_retailprice * {p.PRICE_MULTIPLIER}, 6) AS price, round(daily_rent, 6) AS daily_rent,
        CAST(ceil((p_retailprice * {p.PRICE_MULTIPLIER}) / nullif(daily_rent, 0)) AS BIGINT) AS days

@@ -351,8 +351,8 @@ def q_report_json(spark, sf):
     report = shape.select(
         F.struct(F.lit(p.K).alias("k"), "n_users", "n_items", "n_ratings",
                  exact.select("n_test").scalar().alias("n_test")).alias("meta"),
-        F.struct(exact.select("mae").scalar().alias("mae_exact"),
-                 base.select("mae").scalar().alias("mae_user_avg"),
+        F.struct(exact.select(out(F.col("mae"))).scalar().alias("mae_exact"),
+                 base.select(out(F.col("mae"))).scalar().alias("mae_user_avg"),
                  best.scalar().alias("best_pair")).alias("exact"),
     )
     return as_json(report)
