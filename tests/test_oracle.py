@@ -56,3 +56,17 @@ def test_report_json(spark):
     doc = json.loads(row[0].report)
     assert doc["meta"]["k"] == 10 and doc["meta"]["n_test"] == 1081
     assert 0 < doc["exact"]["mae_exact"] < 4
+
+
+@pytest.mark.parametrize("name", ["ratings_parse", "ratings_rejects", "mae_exact", "budget_units_ratio"])
+def test_query_matches_oracle_without_ansi(spark, duck, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = QUERIES[name](spark, SF)
+        res = duck.execute(oracle_queries()[name])
+        cols = [d[0] for d in res.description]
+        assert _rows(df.collect(), df.columns) == _rows(res.fetchall(), cols)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+        spark.catalog.clearCache()
