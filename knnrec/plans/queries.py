@@ -80,11 +80,8 @@ def q_ratings_rejects(spark, sf):
 
 
 def q_ratings_dedup(spark, sf):
-    raw = raw_line_ratings(spark, sf)
-    dedup = dedup_ratings(raw, "avg")
-    counts = raw.groupBy("u", "i").agg(F.count(F.lit(1)).cast("long").alias("n"))
-    # Same grouping key: both aggregates come from one shuffle of ``raw``.
-    return dedup.join(counts, ["u", "i"]).select("u", "i", out(F.col("r")).alias("r"), "n")
+    dedup = dedup_ratings(raw_line_ratings(spark, sf), "avg", with_count=True)
+    return dedup.select("u", "i", out(F.col("r")).alias("r"), "n")
 
 
 def q_train_test_split(spark, sf):

@@ -45,18 +45,20 @@ def raw_line_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_ratings(spark, sf_dir).select("u", "i", quantity_to_rating(F.col("q")).alias("r"))
 
 
-def dedup_ratings(ratings: DataFrame, policy: str = "avg") -> DataFrame:
+def dedup_ratings(ratings: DataFrame, policy: str = "avg", with_count: bool = False) -> DataFrame:
     """Collapse repeated (u, i) rows.
 
     ``sum`` adds them (what a sparse-matrix builder does), ``avg`` keeps the
     scale, ``error`` fails the job on the first repeated pair. The
     aggregation is partial on the map side, so a pair repeated many times
-    costs no more shuffle than one that is not."""
+    costs no more shuffle than one that is not. ``with_count`` adds the
+    number of rows per pair (``n``) from the same aggregate."""
     grouped = ratings.groupBy("u", "i")
+    extra = [F.count(F.lit(1)).cast("long").alias("n")] if with_count else []
     if policy == "sum":
-        return grouped.agg(F.sum("r").alias("r"))
+        return grouped.agg(F.sum("r").alias("r"), *extra)
     if policy == "avg":
-        return grouped.agg((F.sum("r") / F.count(F.lit(1))).alias("r"))
+        return grouped.agg((F.sum("r") / F.count(F.lit(1))).alias("r"), *extra)
     if policy == "error":
         out = grouped.agg(F.count(F.lit(1)).alias("_n"), F.first("r").alias("r"))
         return out.select(
@@ -68,6 +70,7 @@ def dedup_ratings(ratings: DataFrame, policy: str = "avg") -> DataFrame:
                                        F.col("u").cast("string"), F.lit(","),
                                        F.col("i").cast("string"))),
             ).otherwise(F.col("r")).cast("double").alias("r"),
+            *([F.col("_n").cast("long").alias("n")] if with_count else []),
         )
     raise ValueError(f"unknown duplicate policy {policy!r}")
 
