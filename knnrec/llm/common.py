@@ -182,3 +182,22 @@ def arrays(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal whole-number ``keys`` in sorted batches. Holds
+    one run at a time; callers bound the size of runs."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        ids = np.stack([t[k].to_numpy() for k in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if held and any(held[0][k][0].as_py() != ids[lo, i] for i, k in enumerate(keys)):
+                yield pa.concat_tables(held)
+                held = []
+            held.append(t.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_tables(held)

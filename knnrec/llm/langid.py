@@ -30,7 +30,7 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def learn(train: DataFrame, samples: int = 400, excerpt: int = 1000) -> dict[str, bytes]:
+def learn(train: DataFrame, samples: int = 400, excerpt: int = 500) -> dict[str, bytes]:
     """Dictionary content per non-null lang: excerpts (``excerpt`` characters)
     of at most ``samples`` different texts. Texts fall into ``samples`` buckets
     by hash and the smallest hash of each bucket is taken, so copies count
@@ -51,7 +51,7 @@ def learn(train: DataFrame, samples: int = 400, excerpt: int = 1000) -> dict[str
 
 
 def identify(
-    docs: DataFrame, dictionaries: dict[str, bytes], level: int = 3, margin: float = 0.01
+    docs: DataFrame, dictionaries: dict[str, bytes], level: int = 6, margin: float = 0.005
 ) -> DataFrame:
     """Columns of ``docs`` that are kept (doc_id) plus lang_pred, score, margin
     and rejected.
@@ -108,6 +108,6 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(fold(F.col("doc_id"), 4) != 2)
 
 
-def classify(docs: DataFrame, level: int = 3, margin: float = 0.01) -> DataFrame:
+def classify(docs: DataFrame, level: int = 6, margin: float = 0.005) -> DataFrame:
     """Learn from the training rows of ``docs`` and identify all of them."""
     return identify(docs, learn(training_rows(docs)), level, margin)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knnrec.llm import chat, langid, packing, quality_fm, quality_rules
+from knnrec.llm import chat, embedding_lsh, jaccard_tree, langid, packing, quality_fm, quality_rules
 from knnrec.llm.common import fold
 
 
@@ -19,6 +19,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tree.join(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -45,7 +53,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op5_quality_rules, op6_quality_classifier, op9_language_id, op10_chat_formatting)
+    for f in (op1_best_fit_packing, op2_embedding_near_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op9_language_id, op10_chat_formatting)
 }
 
 ORACLES: dict[str, str] = {}
