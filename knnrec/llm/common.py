@@ -84,6 +84,9 @@ def task_id() -> int:
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that end a word of letters and digits.
+NOT_ALNUM = np.ones(256, dtype=bool)
+NOT_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 5
@@ -137,8 +140,8 @@ def passes(array: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int,
 class Words:
     """The words of a run of texts: byte spans, text index, 64-bit hash."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray, lower: bool = True):
-        inside = ~_SEPARATOR[buf]
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, lower: bool = True, ends: np.ndarray = _SEPARATOR):
+        inside = ~ends[buf]
         filled = offs[:-1] < offs[1:]
         before = np.empty_like(inside)
         before[1:] = inside[:-1]

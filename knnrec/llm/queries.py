@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knnrec.llm import chat, embedding_lsh, jaccard_tree, langid, packing, quality_fm, quality_rules
+from knnrec.llm import chat, embedding_lsh, jaccard_tree, langid, lm_hpy, mixing, packing, quality_fm, quality_rules, toxicity
 from knnrec.llm.common import fold
 
 
@@ -23,6 +23,10 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tree.join(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,16 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(docs, model).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    links = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, links).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_hpy.score(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.classify(table(spark, sf_dir, "documents"))
     return found.withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
@@ -53,7 +67,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_embedding_near_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op9_language_id, op10_chat_formatting)
+    for f in (op1_best_fit_packing, op2_embedding_near_dedup, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op7_toxicity, op8_lm_scoring, op9_language_id, op10_chat_formatting)
 }
 
 ORACLES: dict[str, str] = {}
