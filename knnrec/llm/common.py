@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text handled by one numpy pass (a single longer text is one pass).
 PASS_BYTES = 2 << 20
@@ -204,3 +205,19 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
             held.append(t.slice(lo, hi - lo))
     if held:
         yield pa.concat_tables(held)
+
+
+def repeat_rows(docs: DataFrame, inputs: list[Column], times: Callable[[list[pa.Array]], np.ndarray]) -> DataFrame:
+    """Each row of ``docs`` as often as ``times`` (of the ``inputs`` columns of
+    a batch) says, 0 included, with all columns and without a join."""
+    k = len(docs.columns)
+    wide = docs.select("*", *inputs)
+    wide = wide.toDF(*(f"c{i}" for i in range(len(wide.columns))))
+    names = wide.columns[:k]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), times(batch.columns[k:])))
+            yield pa.RecordBatch.from_arrays([c.take(rows) for c in batch.columns[:k]], names=names)
+
+    return wide.mapInArrow(run, StructType(wide.schema.fields[:k])).toDF(*docs.columns)

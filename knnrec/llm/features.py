@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knnrec.llm.common import Words, passes
@@ -63,17 +63,21 @@ def dense(buf: np.ndarray, offs: np.ndarray, n_chars: np.ndarray, width: int) ->
     return out
 
 
-def blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first row, end row, dense features) of a (doc_id, text, n_chars) batch."""
-    n_chars = batch.column(2).fill_null(0).to_numpy(zero_copy_only=False)
-    for lo, hi, buf, offs in passes(batch.column(1)):
-        yield lo, hi, dense(buf, offs, n_chars[lo:hi], width)
+def blocks(texts: pa.Array, n_chars: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, end row, dense features) of texts and their n_chars."""
+    size = n_chars.fill_null(0).to_numpy(zero_copy_only=False)
+    for lo, hi, buf, offs in passes(texts):
+        yield lo, hi, dense(buf, offs, size[lo:hi], width)
 
 
-def inputs(docs: DataFrame) -> DataFrame:
+def feature_columns(docs: DataFrame) -> list[Column]:
     """The columns that features are made of; a missing n_chars is null."""
     n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), n_chars.alias("n_chars"))
+    return [F.col("text").cast("string").alias("text"), n_chars.alias("n_chars")]
+
+
+def inputs(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *feature_columns(docs))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict]:
@@ -105,7 +109,7 @@ def collect_features(sample: DataFrame, width: int) -> tuple[np.ndarray, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, x in blocks(batch, width):
+            for lo, hi, x in blocks(batch.column(1), batch.column(2), width):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], batch.column(3)[lo:hi], pa.array([r.tobytes() for r in x], pa.binary())],
                     names=["doc_id", "label", "x"],

@@ -381,3 +381,17 @@ def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataF
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: the smallest
+    doc_id. Of several rows with that id one stays. Rows with a null id and
+    documents without words stay."""
+    found = stage(join(docs, size, num, den), "jac-joined")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    twice = found.where("doc_id = component_id AND n_shingles > 0").groupBy(F.col("doc_id").alias("twice_id")).count().where("count > 1").select("twice_id")
+    if twice.isEmpty():
+        return kept
+    same = F.col("doc_id").cast("long") == F.col("twice_id")
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))

@@ -8,14 +8,14 @@ language with the smallest output wins, and a narrow lead is marked rejected.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.llm.common import fold, prepare
+from knnrec.llm.common import fold, prepare, repeat_rows
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
@@ -66,32 +66,11 @@ def identify(
     ignored.
     """
     prepare(docs.sparkSession)
-    langs = sorted(dictionaries)
+    measure = classifier(dictionaries, level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        overhead, tools = [], []
-        for lang in langs:
-            content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level)
-            tools.append(zstandard.ZstdCompressor(dict_data=content, write_content_size=False, write_checksum=False))
-            overhead.append(len(tools[-1].compress(b"")))
         for batch in batches:
-            pred, score, lead = [], [], []
-            for value in batch.column(1):
-                text = value.as_py()
-                if not tools or text is None or not has_letter(text):
-                    pred.append(UNDETERMINED), score.append(0.0), lead.append(0.0)
-                    continue
-                data = normalise(text)
-                sizes = np.array([len(t.compress(data)) - o for t, o in zip(tools, overhead, strict=True)])
-                best = int(sizes.argmin())
-                rest = np.delete(sizes, best)
-                above = np.exp2(-np.minimum(sizes - sizes[best], 1000).astype(float))
-                pred.append(langs[best])
-                score.append(float(1.0 / above.sum()))
-                lead.append(float((rest.min() - sizes[best]) / max(sizes[best], 1)) if len(rest) else 1.0)
+            pred, score, lead = measure(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(lead, pa.float64())],
                 names=["doc_id", "lang_pred", "score", "margin"],
@@ -103,6 +82,55 @@ def identify(
     return found.withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("margin") < margin))
 
 
+def classifier(dictionaries: dict[str, bytes], level: int) -> Callable[[pa.Array], tuple[list, list, list]]:
+    """Texts to their lang_pred, score and margin. Dictionaries are prepared
+    once per task, in the task."""
+    langs, ready = sorted(dictionaries), {}
+
+    def tools() -> list[tuple]:
+        if not ready:
+            import zstandard
+
+            ready["all"] = []
+            for lang in langs:
+                content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                content.precompute_compress(level)
+                one = zstandard.ZstdCompressor(dict_data=content, write_content_size=False, write_checksum=False)
+                ready["all"].append((one, len(one.compress(b""))))
+        return ready["all"]
+
+    def measure(texts: pa.Array) -> tuple[list, list, list]:
+        pred, score, lead = [], [], []
+        for value in texts:
+            text = value.as_py()
+            if not langs or text is None or not has_letter(text):
+                pred.append(UNDETERMINED), score.append(0.0), lead.append(0.0)
+                continue
+            data = normalise(text)
+            sizes = np.array([len(t.compress(data)) - empty for t, empty in tools()])
+            best = int(sizes.argmin())
+            rest = np.delete(sizes, best)
+            above = np.exp2(-np.minimum(sizes - sizes[best], 1000).astype(float))
+            pred.append(langs[best])
+            score.append(float(1.0 / above.sum()))
+            lead.append(float((rest.min() - sizes[best]) / max(sizes[best], 1)) if len(rest) else 1.0)
+        return pred, score, lead
+
+    return measure
+
+
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], level: int = 6, margin: float = 0.005) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` does not reject."""
+    prepare(docs.sparkSession)
+    measure = classifier(dictionaries, level)
+
+    def times(columns: list[pa.Array]) -> np.ndarray:
+        pred, _, lead = measure(columns[0])
+        return np.array([p != UNDETERMINED and m >= margin for p, m in zip(pred, lead, strict=True)], dtype=bool)
+
+    return repeat_rows(docs, [F.col("text").cast("string").alias("text")], times)
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """Rows that may be learned from: crc32 of the id modulo 4 is not 2."""
     return docs.where(fold(F.col("doc_id"), 4) != 2)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.llm.common import Words, passes, prepare, stage
-from knnrec.llm.features import blocks, collect_features, inputs, labelled_sample
+from knnrec.llm.common import Words, passes, prepare, repeat_rows, stage
+from knnrec.llm.features import blocks, collect_features, feature_columns, inputs, labelled_sample
 
 #: Domains of labelled documents and their target share of the tokens.
 DOMAINS = ("clean", "toxic", "poor")
@@ -92,7 +92,7 @@ def memberships(docs: DataFrame, model: DomainModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p, n = np.empty((batch.num_rows, len(DOMAINS))), np.empty(batch.num_rows, np.int64)
-            for lo, hi, x in blocks(batch, WIDTH):
+            for lo, hi, x in blocks(batch.column(1), batch.column(2), WIDTH):
                 p[lo:hi] = model.posteriors(x)
             for lo, hi, buf, offs in passes(batch.column(1)):
                 n[lo:hi] = Words(buf, offs).counts
@@ -142,6 +142,11 @@ def fit_rates(member: DataFrame, targets: dict[str, float], rounds: int = 25, to
     return gradients
 
 
+def draw() -> Column:
+    """A number in [0, 1) from the id."""
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(97)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """doc_id, n_tokens, p_<domain>, rate and copies of every document.
 
@@ -154,6 +159,23 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     prepare(docs.sparkSession)
     member = stage(memberships(docs, learn(docs, labels)), "mix-members")
     rated = member.withColumn("rate", rate(fit_rates(member, targets or TARGETS)))
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(97)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     whole = F.floor("rate")
-    return rated.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("int")).cast("long"))
+    return rated.withColumn("copies", (whole + (draw() < F.col("rate") - whole).cast("int")).cast("long"))
+
+
+def apply_mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` gives it copies. The
+    posteriors are made again on the way, so texts are not joined."""
+    prepare(docs.sparkSession)
+    model = learn(docs, labels)
+    member = stage(memberships(docs, model), "mix-members")
+    gradients = np.array(fit_rates(member, targets or TARGETS)).reshape(-1, len(DOMAINS))
+
+    def times(columns: list[pa.Array]) -> np.ndarray:
+        r, u = np.ones(len(columns[0])), columns[2].to_numpy()
+        for lo, hi, x in blocks(columns[0], columns[1], WIDTH):
+            for step in (model.posteriors(x) @ gradients.T).T:
+                r[lo:hi] = np.maximum(0.0, r[lo:hi] - step)
+        return (np.floor(r) + (u < r - np.floor(r))).astype(np.int64)
+
+    return repeat_rows(docs, [*feature_columns(docs), draw().alias("u")], times)

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.llm.common import fold, prepare
-from knnrec.llm.features import blocks, collect_features, inputs, labelled_sample
+from knnrec.llm.common import fold, prepare, repeat_rows
+from knnrec.llm.features import blocks, collect_features, feature_columns, inputs, labelled_sample
 
 
 @dataclass
@@ -100,10 +100,22 @@ def score(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.empty(batch.num_rows)
-            for lo, hi, x in blocks(batch, model.width):
-                scores[lo:hi] = model.score(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(batch_scores(batch.columns[1:], model))], names=["doc_id", "score"]
+            )
 
     scored = inputs(docs).mapInArrow(run, "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def batch_scores(columns: list[pa.Array], model: FactorisationMachine) -> np.ndarray:
+    scores = np.empty(len(columns[0]))
+    for lo, hi, x in blocks(columns[0], columns[1], model.width):
+        scores[lo:hi] = model.score(x)
+    return scores
+
+
+def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``."""
+    prepare(docs.sparkSession)
+    return repeat_rows(docs, feature_columns(docs), lambda c: batch_scores(c, model) >= threshold)
