@@ -1,10 +1,9 @@
-"""Command-line runs: exact or approximate kNN on rating text files, and the
-cost calculator. Each writes one JSON document through Spark's writer.
+"""Command-line runs: exact or approximate kNN on rating text files. Each
+writes one JSON document through Spark's writer.
 
     python -m knnrec.apps exact --train T --test S --k 10 --json OUT \\
         [--sep '\\t'] [--sims 1:864,1:886] [--predict 1:1,327:2]
     python -m knnrec.apps approximate ... --partitions 10 --replication 2
-    python -m knnrec.apps economics --json OUT
 
 Ids on the command line are 1-based, as in the files.
 """
@@ -16,35 +15,15 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knnrec.operators.cost import calculator_answers
 from knnrec.operators.evaluate import mae
 from knnrec.operators.predict import score_pairs
 from knnrec.operators.similarity import similarity_lookup
 from knnrec.plans.approximate import fit_approx
 from knnrec.plans.exact import fit_exact
-from knnrec.session import DEFAULT_CONF, ensure_checkpoint_dir, materialize
+from knnrec.session import DEFAULT_CONF, ensure_checkpoint_dir, release_all
 from knnrec.sources.ratings import read_rating_text
 from knnrec.sources.report import write_report
 
-# Scenario of the cost calculator (fixed values of its question set): a
-# rented server and small boards bought instead.
-CALCULATOR_SCENARIO = {
-    "big_price": 38600.0,
-    "big_rent_per_day": 20.4,
-    "big_ram_gb": 24.0 * 64,
-    "big_cores": 2.0 * 14,
-    "n_small": 4.0,
-    "small_price": 108.48,
-    "small_ram_gb": 8.0,
-    "watts_idle": 3.0,
-    "watts_busy": 4.0,
-    "price_per_kwh": 0.25,
-    "cost_gb_second": 1.6e-7,
-    "cost_cpu_second": 1.14e-6,
-    "small_per_core": 4.0,
-}
-
-
 def _pairs(spark: SparkSession, text: str, left: str, right: str) -> DataFrame:
     """``"1:864,1:886"`` -> 0-based id pairs (a literal typed by the user)."""
     rows = []
@@ -55,14 +34,14 @@ def _pairs(spark: SparkSession, text: str, left: str, right: str) -> DataFrame:
 
 
 def knn_report(spark: SparkSession, args: argparse.Namespace, approximate: bool) -> DataFrame:
-    train = materialize(read_rating_text(spark, args.train, args.sep), args.persist)
+    train = read_rating_text(spark, args.train, args.sep)
     test = read_rating_text(spark, args.test, args.sep)
     n_users = args.users if args.users else None
     if approximate:
         model = fit_approx(train, args.k, args.partitions, args.replication, n_users=n_users,
-                           persist=args.persist)
+                           persist=args.persist, duplicates=args.duplicates)
     else:
-        model = fit_exact(train, args.k, n_users=n_users, persist=args.persist)
+        model = fit_exact(train, args.k, n_users=n_users, persist=args.persist, duplicates=args.duplicates)
     sims = similarity_lookup(model.neighbors, _pairs(spark, args.sims, "u", "v").drop("name"))
     sims = sims.join(_pairs(spark, args.sims, "u", "v"), ["u", "v"]).select("name", "sim")
     preds = score_pairs(_pairs(spark, args.predict, "u", "i"), model).select("name", "prediction")
@@ -82,10 +61,6 @@ def knn_report(spark: SparkSession, args: argparse.Namespace, approximate: bool)
     )
 
 
-def economics_report(spark: SparkSession) -> DataFrame:
-    return calculator_answers(spark.createDataFrame([CALCULATOR_SCENARIO]))
-
-
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="knnrec.apps")
     sub = parser.add_subparsers(dest="app", required=True)
@@ -100,14 +75,13 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--sims", default="", help="pairs like 1:864,1:886")
         p.add_argument("--predict", default="", help="pairs like 1:1,327:2")
         p.add_argument("--master", default=None)
+        p.add_argument("--duplicates", choices=["avg", "sum", "error"], default="avg",
+                       help="what several train lines of one (user, item) mean")
         p.add_argument("--persist", choices=["persist", "checkpoint", "none"], default="persist",
                        help="checkpoint: write intermediates to spark.checkpoint.dir (cuts lineage)")
         if name == "approximate":
             p.add_argument("--partitions", type=int, default=10)
             p.add_argument("--replication", type=int, default=2)
-    p = sub.add_parser("economics")
-    p.add_argument("--json", required=True)
-    p.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"knnrec-{args.app}")
@@ -118,11 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
-    if args.app == "economics":
-        report = economics_report(spark)
-    else:
-        report = knn_report(spark, args, approximate=args.app == "approximate")
-    write_report(report, args.json)
+    write_report(knn_report(spark, args, approximate=args.app == "approximate"), args.json)
+    release_all()
 
 
 if __name__ == "__main__":

@@ -41,9 +41,12 @@ def round_half_away(x: Column, digits: int) -> Column:
     """``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: rounds the binary value
     in double arithmetic (no per-row decimal conversion, and the same
     result as ``std::round(x * 10^d) / 10^d`` in other engines; ``round``
-    would instead round the shortest decimal string of ``x``)."""
+    would instead round the shortest decimal string of ``x``). From 2^53
+    units of the last digit on a double has no such digits: ``x`` stays."""
     m = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    scaled = F.abs(x) * F.lit(m)
+    rounded = F.signum(x) * F.floor(scaled + F.lit(0.5)) / F.lit(m)
+    return F.when(scaled < F.lit(float(1 << 53)), rounded).otherwise(x)
 
 
 def snap(x: Column, digits: int = SIM_DIGITS) -> Column:

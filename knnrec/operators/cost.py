@@ -1,6 +1,6 @@
 """Buy-versus-rent cost model over tables.
 
-The calculator's three questions become per-row queries: days until
+Three questions as per-row queries: days until
 buying an asset beats renting it (gross and net of running cost), daily
 cost of metered usage, and how many units a budget buys with the
 capacity ratios that follow."""
@@ -23,16 +23,6 @@ def days_until_buying_wins(price: Column, daily_rent: Column, daily_own_cost: Co
     return F.when(margin > 0, F.ceil(price / margin)).cast("long")
 
 
-def metered_daily_cost(seconds: Column, gb: Column, cpus: Column, cost_gb: float, cost_cpu: float) -> Column:
-    """``seconds * (GB * cost per GB-second + CPUs * cost per CPU-second)``."""
-    return seconds * (gb * F.lit(cost_gb) + cpus * F.lit(cost_cpu))
-
-
-def running_daily_cost(watts: Column, price_per_kwh: Column) -> Column:
-    """Energy cost of a day at constant power."""
-    return watts / F.lit(1000.0) * F.lit(24.0) * price_per_kwh
-
-
 def part_daily_rent(lineitem: DataFrame) -> DataFrame:
     """``(l_partkey, daily_rent)``: discounted revenue per distinct ship day.
 
@@ -48,46 +38,58 @@ def part_daily_rent(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def breakeven_days(part: DataFrame, lineitem: DataFrame, price_multiplier: float) -> DataFrame:
+def _with_rent(part: DataFrame, lineitem: DataFrame, price_multiplier: float) -> DataFrame:
+    """Every part; one that was never shipped has no rent."""
     rent = part_daily_rent(lineitem)
-    price = F.col("p_retailprice") * F.lit(price_multiplier)
-    joined = part.select("p_partkey", "p_retailprice").join(
-        rent, F.col("p_partkey") == F.col("l_partkey"))
-    return joined.select(
-        "p_partkey", out(price).alias("price"), out(F.col("daily_rent")).alias("daily_rent"),
-        days_until_buying_wins(price, F.col("daily_rent")).alias("days"),
+    joined = part.select("p_partkey", "p_retailprice").join(rent, F.col("p_partkey") == F.col("l_partkey"), "left")
+    return joined.withColumn("price", F.col("p_retailprice") * F.lit(price_multiplier))
+
+
+def breakeven_days(part: DataFrame, lineitem: DataFrame, price_multiplier: float) -> DataFrame:
+    return _with_rent(part, lineitem, price_multiplier).select(
+        "p_partkey", out(F.col("price")).alias("price"), out(F.col("daily_rent")).alias("daily_rent"),
+        days_until_buying_wins(F.col("price"), F.col("daily_rent")).alias("days"),
     )
 
 
 def breakeven_net_days(part: DataFrame, lineitem: DataFrame, price_multiplier: float,
                        own_daily_cost: float) -> DataFrame:
-    rent = part_daily_rent(lineitem)
-    price = F.col("p_retailprice") * F.lit(price_multiplier)
-    joined = part.select("p_partkey", "p_retailprice").join(
-        rent, F.col("p_partkey") == F.col("l_partkey"))
-    return joined.select(
+    return _with_rent(part, lineitem, price_multiplier).select(
         "p_partkey", out(F.col("daily_rent") - F.lit(own_daily_cost)).alias("daily_margin"),
-        days_until_buying_wins(price, F.col("daily_rent"), own_daily_cost).alias("days"),
+        days_until_buying_wins(F.col("price"), F.col("daily_rent"), own_daily_cost).alias("days"),
     )
 
 
+# Rates are whole numbers of 1e-12 per second, amounts of usage hundredths of
+# a second, so costs add up exactly in units of 1e-14.
+RATE_UNIT = 10 ** 12
+COST_UNIT = 10.0 ** 14
+
+
 def usage_daily_cost(
     events: DataFrame,
     resources: Sequence[tuple[str, float, float]],
     cost_gb: float,
     cost_cpu: float,
 ) -> DataFrame:
-    """``(day, user_id, n_events, usage_seconds, daily_cost)``. The rate
-    table has one row per event type (a fixed, tiny literal), so it is
-    broadcast; events are aggregated map-side before the shuffle."""
+    """``(day, user_id, n_events, n_unpriced, usage_seconds, daily_cost)``.
+
+    ``daily_cost`` is exact before its one conversion to double and is not
+    rounded. An event whose type has no rate counts in ``n_events``,
+    ``usage_seconds`` and ``n_unpriced``; a day without a priced event has a
+    NULL cost. The rate table has one row per event type (a fixed, tiny
+    literal), so it is broadcast; events are aggregated map-side."""
     spark = events.sparkSession
-    rates = F.broadcast(spark.createDataFrame(list(resources), "event_type string, gb double, cpu double"))
-    priced = events.select("ts", "user_id", "event_type", "value").join(rates, "event_type")
-    cost = metered_daily_cost(F.col("value"), F.col("gb"), F.col("cpu"), cost_gb, cost_cpu)
+    rows = [(t, round((gb * cost_gb + cpu * cost_cpu) * RATE_UNIT)) for t, gb, cpu in resources]
+    rates = F.broadcast(spark.createDataFrame(rows, "event_type string, rate long"))
+    priced = events.select("ts", "user_id", "event_type", "value").join(rates, "event_type", "left")
+    amount = hundredths(F.col("value")).cast("decimal(19,0)")
     return priced.groupBy(F.to_date("ts").cast("string").alias("day"), "user_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_events"),
-        out(F.sum("value")).alias("usage_seconds"),
-        out(F.sum(cost)).alias("daily_cost"),
+        F.sum(F.col("rate").isNull().cast("long")).alias("n_unpriced"),
+        (F.sum(amount).cast("double") / F.lit(100.0)).alias("usage_seconds"),
+        (F.sum((amount * F.col("rate").cast("decimal(19,0)")).cast("decimal(28,0)")).cast("double")
+         / F.lit(COST_UNIT)).alias("daily_cost"),
     )
 
 
@@ -102,7 +104,8 @@ def budget_units(
 ) -> DataFrame:
     """Units a supplier's (non-negative) balance buys at the mean list
     price of the parts it ships, and the memory and compute ratios of
-    that many units against one reference machine."""
+    that many units against one reference machine. A supplier that ships
+    nothing has no price and NULL units."""
     shipped = lineitem.select("l_suppkey", "l_partkey").distinct()
     price = shipped.join(part.select("p_partkey", "p_retailprice"),
                          F.col("l_partkey") == F.col("p_partkey")).groupBy("l_suppkey").agg(
@@ -110,37 +113,10 @@ def budget_units(
          / F.lit(100.0)).alias("unit_price"))
     budget = F.greatest(F.col("s_acctbal"), F.lit(0.0))
     units = F.floor(budget / F.col("unit_price")).cast("long")
-    joined = supplier.select("s_suppkey", "s_acctbal").join(price, F.col("s_suppkey") == F.col("l_suppkey"))
+    joined = supplier.select("s_suppkey", "s_acctbal").join(price, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     return joined.select(
         "s_suppkey", out(budget).alias("budget"), out(F.col("unit_price")).alias("unit_price"),
         units.alias("units"),
         out(units * F.lit(unit_ram) / F.lit(reference_ram)).alias("ram_ratio"),
         out(units / F.lit(float(reference_cores * units_per_core))).alias("compute_ratio"),
     )
-
-
-def calculator_answers(scenarios: DataFrame) -> DataFrame:
-    """The calculator itself, one output row per scenario row. Columns in:
-    ``big_price, big_rent_per_day, big_ram_gb, big_cores, n_small,
-    small_price, small_ram_gb, watts_idle, watts_busy, price_per_kwh,
-    cost_gb_second, cost_cpu_second, small_per_core``."""
-    c = F.col
-    seconds_per_day = F.lit(24.0 * 60 * 60)
-    n_gb = c("n_small") * c("small_ram_gb")
-    n_cpu = F.ceil(c("n_small") / F.lit(4.0))
-    container = seconds_per_day * (n_gb * c("cost_gb_second") + n_cpu * c("cost_cpu_second"))
-    idle = c("n_small") * running_daily_cost(c("watts_idle"), c("price_per_kwh"))
-    busy = c("n_small") * running_daily_cost(c("watts_busy"), c("price_per_kwh"))
-    total_small = c("n_small") * c("small_price")
-    n_equiv = F.floor(c("big_price") / c("small_price"))
-    return scenarios.select(
-        F.ceil(c("big_price") / c("big_rent_per_day")).cast("long").alias("min_renting_days"),
-        container.alias("container_daily_cost"),
-        idle.alias("small_daily_cost_idle"),
-        busy.alias("small_daily_cost_busy"),
-        days_until_buying_wins(total_small, container, idle).alias("min_renting_days_idle"),
-        days_until_buying_wins(total_small, container, busy).alias("min_renting_days_busy"),
-        n_equiv.cast("long").alias("n_small_for_big_price"),
-        (n_equiv * c("small_ram_gb") / c("big_ram_gb")).alias("ram_ratio"),
-        (n_equiv / (c("big_cores") * c("small_per_core"))).alias("compute_ratio"),
-    )

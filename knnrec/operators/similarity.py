@@ -13,29 +13,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.functions.columns import snap
+from knnrec.functions.columns import SIM_DIGITS, snap
 
-# A key with more rows than ``BLOCK_ROWS`` on a side is split into
-# ceil(rows / BLOCK_ROWS) blocks per side. At most ``MAX_HOT_KEYS`` keys
-# (the hottest) are split, which bounds the broadcast list of hot keys at
-# any data size; results are exact whichever keys are split.
-BLOCK_ROWS = 20_000
-MAX_HOT_KEYS = 100_000
+# Rows of one side of a cell: a key with more rows on a side is split into
+# ceil(rows / CELL_ROWS) blocks per side, so no cell holds more than about
+# CELL_ROWS^2 = 4 million products, whatever the number of such keys.
+CELL_ROWS = 2_000
 
 
-def hot_key_blocks(
-    frames: Sequence[DataFrame],
-    keys: Sequence[str],
-    block_rows: int = BLOCK_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """``(keys..., _nb)`` for the keys whose rows (largest side) exceed
-    ``block_rows``. Counting is a partial aggregate over the key columns
-    only; the result is capped at the ``max_hot_keys`` hottest keys."""
+def hot_key_blocks(frames: Sequence[DataFrame], keys: Sequence[str], block_rows: int = CELL_ROWS) -> DataFrame:
+    """``(keys..., _nb)`` for every key whose rows (largest side) exceed
+    ``block_rows``. Counting is a partial aggregate over the key columns."""
     counted = [f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")) for f in frames]
     counts = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1]).groupBy(*keys).agg(
         F.max("_cnt").alias("_cnt"))
-    hot = counts.where(F.col("_cnt") > block_rows).orderBy(F.col("_cnt").desc()).limit(max_hot_keys)
+    hot = counts.where(F.col("_cnt") > block_rows)
     return hot.select(*keys, F.ceil(F.col("_cnt") / F.lit(block_rows)).cast("int").alias("_nb"))
 
 
@@ -46,8 +38,7 @@ def blocked_join(
     left_id: str,
     right_id: str,
     condition: Callable[[], Column] | None = None,
-    block_rows: int = BLOCK_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    block_rows: int = CELL_ROWS,
     self_join: bool = False,
 ) -> DataFrame:
     """Inner equi-join on ``keys`` (same names on both sides; all other
@@ -55,10 +46,12 @@ def blocked_join(
     row to block row ``hash(left_id) % nb`` of every block column and each
     right row to block column ``hash(right_id) % nb`` of every block row,
     so each (left, right) pair still meets exactly once, in one of
-    ``nb * nb`` tasks. Cold keys keep a single block: no replication.
+    ``nb * nb`` cells. Cold keys keep a single block: no replication. The
+    list of hot keys is an ordinary join: adaptive execution broadcasts it
+    when it is measured small and splits skew otherwise.
     ``self_join``: both sides have the same key counts (count once)."""
     frames = [left] if self_join else [left, right]
-    hot = F.broadcast(hot_key_blocks(frames, keys, block_rows, max_hot_keys))
+    hot = hot_key_blocks(frames, keys, block_rows)
 
     def tagged(df: DataFrame) -> DataFrame:
         out = df.join(hot, list(keys), "left")
@@ -97,18 +90,18 @@ def similarity_half(
     unit: DataFrame,
     scenario: Sequence[str] = (),
     block: Sequence[str] = (),
-    pair_filter: Callable[[], Column] | None = None,
     carry: Sequence[str] = (),
+    digits: int = SIM_DIGITS,
     **blocking,
 ) -> DataFrame:
     """Cosine similarity of every co-rating pair ``u < v`` (each unordered
     pair once, so the join emits half the products).
 
     ``unit`` holds ``(scenario..., block..., u, i, w, carry...)``; pairs
-    meet on ``(scenario, block, i)``. The sum is snapped to ``SIM_DIGITS``
-    decimals and zeros are dropped. ``carry`` columns are functionally
-    dependent on the pair (both sides' values, suffixed ``_v`` on the
-    right) and ``pair_filter`` may use them."""
+    meet on ``(scenario, block, i)``. The sum is snapped to ``digits``
+    decimals and zeros are dropped. ``carry`` columns are functions of the
+    user; both sides' values are kept, suffixed ``_v`` on the right (whole
+    numbers, so that the aggregate stays a hash aggregate)."""
     keys = [*scenario, *block, "i"]
     left = unit.select(*keys, "u", "w", *carry)
     right = unit.select(
@@ -116,17 +109,16 @@ def similarity_half(
         *[F.col(c).alias(f"{c}_v") for c in carry],
     )
 
-    def condition() -> Column:
-        cond = F.col("u") < F.col("v")
-        return cond & pair_filter() if pair_filter is not None else cond
-
-    joined = blocked_join(left, right, keys, "u", "v", condition=condition, self_join=True, **blocking)
-    return aggregate_products(joined, scenario)
+    joined = blocked_join(left, right, keys, "u", "v", condition=lambda: F.col("u") < F.col("v"),
+                          self_join=True, **blocking)
+    return aggregate_products(joined, scenario, [*carry, *(f"{c}_v" for c in carry)], digits)
 
 
-def aggregate_products(joined: DataFrame, scenario: Sequence[str] = (), extra_aggs=()) -> DataFrame:
+def aggregate_products(joined: DataFrame, scenario: Sequence[str] = (), carry: Sequence[str] = (),
+                       digits: int = SIM_DIGITS) -> DataFrame:
     sims = joined.groupBy(*scenario, "u", "v").agg(
-        snap(F.sum(F.col("w") * F.col("w_v"))).alias("sim"), *extra_aggs
+        snap(F.sum(F.col("w") * F.col("w_v")), digits).alias("sim"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
     return sims.where(F.col("sim") != 0)
 
@@ -159,3 +151,14 @@ def similarity_lookup(sims: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.select("u", "v").join(sims.select("u", "v", "sim"), ["u", "v"], "left").select(
         "u", "v", F.coalesce(F.col("sim"), F.lit(0.0)).alias("sim")
     )
+
+
+def similarity_for_pairs(unit: DataFrame, pairs: DataFrame, digits: int = SIM_DIGITS) -> DataFrame:
+    """``(u, v, sim)`` for requested pairs straight from the unit rows: the
+    pairs meet the ratings of ``u``, then those of ``v`` on the same item, so
+    the work follows the pairs, not the number of co-rating users. A pair
+    without a common item reads 0."""
+    wanted = pairs.select("u", "v").distinct()
+    left = wanted.join(unit.select("u", "i", "w"), "u")
+    right = unit.select(F.col("u").alias("v"), "i", F.col("w").alias("w_v"))
+    return similarity_lookup(aggregate_products(left.join(right, ["v", "i"]), digits=digits), wanted)

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knnrec.functions.columns import SIM_DIGITS
 from knnrec.operators.neighbors import slot_topk
 from knnrec.operators.normalize import normalized_deviations, unit_ratings
 from knnrec.operators.similarity import mirror, similarity_half
 from knnrec.session import materialize, release
-from knnrec.sources.ratings import RATING_HI, RATING_LO
+from knnrec.sources.ratings import RATING_HI, RATING_LO, dedup_ratings
 
 
 @dataclass
@@ -34,8 +35,14 @@ class KnnModel:
         release(*self.pinned)
 
 
-def base_frames(train: DataFrame, persist: str = "persist", lo: float = RATING_LO, hi: float = RATING_HI):
-    """User statistics, deviations and unit rows, each read several times."""
+def base_frames(train: DataFrame, persist: str = "persist", lo: float = RATING_LO, hi: float = RATING_HI,
+                duplicates: str | None = "avg"):
+    """User statistics, deviations and unit rows, each read several times.
+
+    ``duplicates`` says what several rows of one (u, i) mean (see
+    ``dedup_ratings``); None: the caller knows there are none."""
+    if duplicates is not None:
+        train = materialize(dedup_ratings(train, duplicates), persist)
     stats = materialize(train.groupBy("u").agg(
         (F.sum("r") / F.count(F.lit(1))).alias("avg_rating"),
         F.count(F.lit(1)).cast("long").alias("n"),
@@ -60,15 +67,20 @@ def fit_exact(
     persist: str = "persist",
     lo: float = RATING_LO,
     hi: float = RATING_HI,
+    duplicates: str | None = "avg",
+    sim_digits: int = SIM_DIGITS,
     **blocking,
 ) -> KnnModel:
     """Exact user-based kNN over ``train(u, i, r)``.
 
     ``n_users`` is the width of the dense similarity row for the slot
-    rule (default: users present in ``train``)."""
-    stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi)
-    half = materialize(similarity_half(unit, **blocking), persist)
+    rule (default: users present in ``train``). ``duplicates``: policy for
+    repeated (u, i) rows, or None when there are none. Similarities are
+    rounded to ``sim_digits`` decimals; those that round to 0 are not
+    stored."""
+    stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi, duplicates)
+    half = similarity_half(unit, digits=sim_digits, **blocking)
     n = F.lit(n_users) if n_users is not None else n_train_users
     neighbors = materialize(slot_topk(mirror(half), k, n), persist)
     return KnnModel(stats, devs, neighbors, global_avg, n, k, (),
-                    [stats, devs, unit, half, neighbors])
+                    [stats, devs, unit, neighbors])

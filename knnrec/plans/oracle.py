@@ -5,6 +5,8 @@ full counts, plain CROSS JOINs where a one-row table is needed."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from knnrec.plans import params as p
 
 LO = "CAST(1 AS DOUBLE)"
@@ -82,7 +84,7 @@ def predict_sql(nb: str, pairs: str, keys: str = "", on_keys: str = "") -> str:
 contrib AS (
   SELECT {group_keys} p.u, p.i, sum(nb.sim * d.dev) AS num, sum(abs(nb.sim)) AS denom,
          count(*) AS n_raters
-  FROM {pairs} p JOIN {nb} nb ON p.u = nb.u {on_keys}
+  FROM (SELECT DISTINCT * EXCLUDE (r) FROM {pairs}) p JOIN {nb} nb ON p.u = nb.u {on_keys}
   JOIN devs d ON d.u = nb.v AND d.i = p.i
   GROUP BY {group_keys} p.u, p.i),
 wd AS (
@@ -140,14 +142,19 @@ EXACT = (RATINGS, STATS, DEVS, SIMS, slot_topk_sql("neighbors", "sims", "", p.K)
 
 
 def lines_sql(sep: str) -> str:
-    junk = ["user{s}item{s}rating", "", "7", "1.5{s}2{s}3", "99999999999{s}1{s}3",
-            "4{s}x{s}3", "4{s}5{s}x"]
-    values = ", ".join("('" + j.format(s=sep) + "')" for j in junk)
+    u, i, r = "CAST(u + 1 AS VARCHAR)", "CAST(i + 1 AS VARCHAR)", "CAST(r AS VARCHAR)"
+    s = f" || '{sep}' || "
     return f"""
 lines AS (
-  SELECT concat_ws('{sep}', CAST(u + 1 AS VARCHAR), CAST(i + 1 AS VARCHAR),
-                   CAST(r AS VARCHAR), '0') AS value FROM ratings
-  UNION ALL SELECT value FROM (VALUES {values}) t(value)),
+  SELECT CASE (u * 13 + i * 7) % 97
+    WHEN 0 THEN {u}{s}{i}
+    WHEN 1 THEN {u} || '.5'{s}{i}{s}{r}
+    WHEN 2 THEN '99999999999' || {u}{s}{i}{s}{r}
+    WHEN 3 THEN {u}{s}'x' || {i}{s}{r}
+    WHEN 4 THEN {u}{s}{i}{s}'five'
+    WHEN 5 THEN {u}{s}{i}{s}CAST(r + 5 AS VARCHAR)
+    WHEN 6 THEN ''
+    ELSE {u}{s}{i}{s}{r}{s}'0' END AS value FROM ratings),
 fields AS (
   SELECT value, len(f) AS nf, trim(f[1]) AS f0, trim(f[2]) AS f1, trim(f[3]) AS f2
   FROM (SELECT value, string_split(value, '{sep}') AS f FROM lines) x),
@@ -191,8 +198,13 @@ assign AS (
   WHERE rk <= {p.REPLICATION})"""
 
 
-EVENT_RATES = ", ".join(f"('{t}', CAST({gb} AS DOUBLE), CAST({cpu} AS DOUBLE))"
-                        for t, gb, cpu in p.EVENT_RESOURCES)
+def _rate(gb: float, cpu: float) -> str:
+    """The exact decimal price of a second."""
+    exact = Decimal(str(gb)) * Decimal(str(p.COST_PER_GB_SECOND)) + Decimal(str(cpu)) * Decimal(str(p.COST_PER_CPU_SECOND))
+    return f"{exact:.16f}"
+
+
+EVENT_RATES = ", ".join(f"('{t}', '{_rate(gb, cpu)}')" for t, gb, cpu in p.EVENT_RESOURCES)
 
 RENT = """
 rent AS (
@@ -268,16 +280,17 @@ def _oracle_queries() -> dict[str, str]:
         "SELECT u, CAST(count(*) AS BIGINT) AS n, round(coalesce(avg(r), 0), 6) AS mean, "
         "round(coalesce(stddev_pop(r), 0), 6) AS std FROM train GROUP BY u")
     q["sparse_matmul"] = with_(RATINGS) + (
-        "SELECT a.u AS row, b.u AS col, sum(a.r * b.r) AS val "
-        "FROM train a JOIN train b ON a.i = b.i GROUP BY a.u, b.u HAVING sum(a.r * b.r) <> 0")
+        "SELECT t.u AS row, p_brand AS col, sum(t.r * CAST(round(p_retailprice * 100) AS DOUBLE)) AS val "
+        "FROM train t JOIN part ON t.i = p_partkey GROUP BY t.u, p_brand "
+        "HAVING sum(t.r * CAST(round(p_retailprice * 100) AS DOUBLE)) <> 0")
     q["similarity_all_pairs"] = with_(*BASE, SIMS) + "SELECT u, v, sim FROM sims"
     q["similarity_for_users"] = with_(*BASE) + (
         "SELECT u, v, sim FROM (SELECT a.u AS u, b.u AS v, " + snap_sql("sum(a.w * b.w)") + " AS sim "
         "FROM unit a JOIN unit b ON a.i = b.i AND a.u <> b.u "
-        "WHERE a.u IN (SELECT u FROM test) GROUP BY a.u, b.u) x WHERE sim <> 0")
+        f"WHERE a.u IN (SELECT c_custkey FROM customer WHERE c_nationkey = {p.NATION}) GROUP BY a.u, b.u) x WHERE sim <> 0")
     q["similarity_lookup"] = with_(*BASE, SIMS) + (
         "SELECT x.u, x.v, coalesce(s.sim, 0) AS sim FROM "
-        "(SELECT DISTINCT a.u AS u, b.u AS v FROM test a JOIN test b ON a.i = b.i AND a.u <> b.u) x "
+        "(SELECT DISTINCT min(u) AS u, max(u) AS v FROM test GROUP BY i HAVING min(u) <> max(u)) x "
         "LEFT JOIN sims s ON x.u = s.u AND x.v = s.v")
     q["topk_neighbors"] = with_(*EXACT) + "SELECT u, v, sim, rank FROM neighbors"
     q["neighbor_counts"] = with_(*EXACT) + (
@@ -290,6 +303,9 @@ def _oracle_queries() -> dict[str, str]:
     q["predict_pairs"] = with_(*EXACT, pred_exact) + (
         "SELECT u, i, r, round(prediction, 6) AS prediction FROM pred")
     q["mae_exact"] = with_(*EXACT, pred_exact) + _mae("pred")
+    lines = """lines AS (
+  SELECT u, i, CAST(1 + floor((q - 1) / 10) AS DOUBLE) AS r FROM ratings_raw WHERE (u * 31 + i * 17) % 5 = 0)"""
+    q["mae_lines"] = with_(*EXACT, lines, predict_sql("neighbors", "lines")) + _mae("pred")
     q["mae_user_avg"] = with_(RATINGS, STATS) + _mae(
         "(SELECT t.r, coalesce(s.avg_rating, g.global_avg) AS prediction FROM test t "
         "LEFT JOIN user_stats s ON t.u = s.u CROSS JOIN gstats g) x")
@@ -339,7 +355,7 @@ sa_pred AS (
         "SELECT u, i, round(prediction, 6) AS prediction FROM sa_pred")
     q["recommend_top_n"] = with_(*EXACT, score_all.lstrip(",\n")) + f"""
 SELECT u, i, round(prediction, 6) AS prediction, CAST(rn AS BIGINT) AS rank FROM (
-  SELECT u, i, prediction, row_number() OVER (PARTITION BY u ORDER BY prediction DESC, i) AS rn
+  SELECT u, i, prediction, row_number() OVER (PARTITION BY u ORDER BY {snap_sql('prediction')} DESC, i) AS rn
   FROM sa_pred x WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.u = x.u AND t.i = x.i)) y
 WHERE rn <= {p.TOP_N}"""
     q["report_json"] = with_(*EXACT, pred_exact) + f""",
@@ -360,18 +376,21 @@ FROM shape CROSS JOIN ex CROSS JOIN ua CROSS JOIN best"""
     q["breakeven_days"] = with_(RENT) + f"""
 SELECT p_partkey, round(p_retailprice * {p.PRICE_MULTIPLIER}, 6) AS price, round(daily_rent, 6) AS daily_rent,
        CAST(ceil((p_retailprice * {p.PRICE_MULTIPLIER}) / nullif(daily_rent, 0)) AS BIGINT) AS days
-FROM part JOIN rent ON p_partkey = l_partkey"""
+FROM part LEFT JOIN rent ON p_partkey = l_partkey"""
     q["breakeven_net_days"] = with_(RENT) + f"""
 SELECT p_partkey, round(daily_rent - {p.OWN_DAILY_COST}, 6) AS daily_margin,
        CAST(CASE WHEN daily_rent > {p.OWN_DAILY_COST}
             THEN ceil((p_retailprice * {p.PRICE_MULTIPLIER}) / (daily_rent - {p.OWN_DAILY_COST})) END AS BIGINT) AS days
-FROM part JOIN rent ON p_partkey = l_partkey"""
+FROM part LEFT JOIN rent ON p_partkey = l_partkey"""
     q["usage_daily_cost"] = f"""
-WITH rates AS (SELECT * FROM (VALUES {EVENT_RATES}) t(event_type, gb, cpu))
+WITH rates AS (
+  SELECT event_type, CAST(rate AS DECIMAL(18,16)) AS rate
+  FROM (VALUES {EVENT_RATES}) t(event_type, rate))
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, user_id, CAST(count(*) AS BIGINT) AS n_events,
-       round(sum(value), 6) AS usage_seconds,
-       round(sum(value * (gb * {p.COST_PER_GB_SECOND} + cpu * {p.COST_PER_CPU_SECOND})), 6) AS daily_cost
-FROM events e JOIN rates r ON e.event_type = r.event_type
+       CAST(count(*) FILTER (WHERE rate IS NULL) AS BIGINT) AS n_unpriced,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) * 100 AS DOUBLE) / 100 AS usage_seconds,
+       CAST(sum(CAST(value AS DECIMAL(18,2)) * rate) * 100000000000000 AS DOUBLE) / 1e14 AS daily_cost
+FROM events e LEFT JOIN rates r ON e.event_type = r.event_type
 GROUP BY CAST(ts AS DATE), user_id"""
     q["budget_units_ratio"] = f"""
 WITH shipped AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem),
@@ -382,7 +401,7 @@ price AS (
 units AS (
   SELECT s_suppkey, greatest(s_acctbal, 0) AS budget, unit_price,
          CAST(floor(greatest(s_acctbal, 0) / unit_price) AS BIGINT) AS units
-  FROM supplier JOIN price ON s_suppkey = l_suppkey)
+  FROM supplier LEFT JOIN price ON s_suppkey = l_suppkey)
 SELECT s_suppkey, round(budget, 6) AS budget, round(unit_price, 6) AS unit_price, units,
        round(units * {p.UNIT_RAM_GB} / {p.REFERENCE_RAM_GB}, 6) AS ram_ratio,
        round(units / {float(p.REFERENCE_CORES * p.UNITS_PER_CORE)}, 6) AS compute_ratio

@@ -6,6 +6,7 @@ PARTITIONS = 10           # parts of the approximate method
 REPLICATION = 2           # parts per user
 LEVELS = (1, 2, 3, 4, 6, 8)  # replication levels of the sweep
 TOP_N = 5                 # recommendations per user
+NATION = 7                # whose customers similarity_for_users asks for
 
 # Cost model, fixed values of the cost calculator (per second of metered use).
 COST_PER_GB_SECOND = 1.6e-7

@@ -11,18 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knnrec.functions.columns import out, scale
+from knnrec.functions.columns import hundredths, out, scale
 from knnrec.operators import cost
 from knnrec.operators import stats as st
 from knnrec.operators.evaluate import mae, user_average_predictions
 from knnrec.operators.neighbors import merge_topk
 from knnrec.operators.normalize import normalized_deviations, unit_ratings, user_norms
-from knnrec.operators.partition import assign_partitions, partition_sizes, user_partitions
+from knnrec.operators.partition import assign_partitions, partition_sizes, ranked_parts, user_partitions
 from knnrec.operators.predict import (
     recommend_top_n, score_all_items, score_pairs, weighted_deviation,
 )
 from knnrec.operators.similarity import (
-    blocked_join, mirror, similarity_for_users, similarity_half, similarity_lookup, sparse_matmul,
+    mirror, similarity_for_pairs, similarity_for_users, similarity_half, sparse_matmul,
 )
 from knnrec.plans import params as p
 from knnrec.plans.approximate import (
@@ -41,30 +41,31 @@ from knnrec.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Intermediates read by several consumers of one query (rating view,
-# deviations, unit rows, pair similarities, neighbours) are persisted. A
-# later query with the same sub-plan reuses them; ``clearCache()`` (as in
-# bench.py) or LRU eviction releases them.
+# deviations, unit rows, neighbours) are persisted; the next registered query
+# frees them first (``release_all``). Queries with a single consumer read the
+# tables directly.
 PERSIST = "persist"
 
 
-def _ratings(spark, sf):
-    # Train and test are two filters of one view: persisting it scans and
-    # joins lineitem/orders once for both.
-    return materialize(rating_view(spark, sf), PERSIST)
+def _train(spark, sf):
+    """The train half, for one consumer."""
+    return split_train_test(rating_view(spark, sf))[0]
 
 
 def _split(spark, sf):
-    return split_train_test(_ratings(spark, sf))
+    """Both halves, for several consumers: two filters of one view, whose
+    scan and join run once."""
+    return split_train_test(materialize(rating_view(spark, sf), PERSIST))
 
 
 def _exact(spark, sf, k=p.K):
     train, test = _split(spark, sf)
-    return train, test, fit_exact(train, k, persist=PERSIST)
+    return train, test, fit_exact(train, k, persist=PERSIST, duplicates=None)
 
 
 def _approx(spark, sf):
     train, test = _split(spark, sf)
-    return train, test, fit_approx(train, p.K, p.PARTITIONS, p.REPLICATION, persist=PERSIST)
+    return train, test, fit_approx(train, p.K, p.PARTITIONS, p.REPLICATION, persist=PERSIST, duplicates=None)
 
 
 def q_ratings_parse(spark, sf):
@@ -89,24 +90,24 @@ def q_train_test_split(spark, sf):
 
 
 def q_dataset_shape(spark, sf):
-    return st.dataset_shape(_split(spark, sf)[0])
+    return st.dataset_shape(_train(spark, sf))
 
 
 def q_sum_by_user(spark, sf):
-    return st.sum_along_axis(_split(spark, sf)[0], 1)
+    return st.sum_along_axis(_train(spark, sf), 1)
 
 
 def q_sum_by_item(spark, sf):
-    return st.sum_along_axis(_split(spark, sf)[0], 0)
+    return st.sum_along_axis(_train(spark, sf), 0)
 
 
 def q_global_average(spark, sf):
-    g = st.global_stats(_split(spark, sf)[0])
+    g = st.global_stats(_train(spark, sf))
     return g.select(out(F.col("global_avg")).alias("global_avg"), "n_ratings", "n_users")
 
 
 def q_user_averages(spark, sf):
-    s = st.user_stats(_split(spark, sf)[0])
+    s = st.user_stats(_train(spark, sf))
     return s.select("u", out(F.col("avg_rating")).alias("avg_rating"), "n")
 
 
@@ -137,24 +138,27 @@ def q_unit_ratings(spark, sf):
 
 
 def q_item_rating_counts(spark, sf):
-    return st.item_rating_counts(_split(spark, sf)[0])
+    return st.item_rating_counts(_train(spark, sf))
 
 
 def q_summary_stats(spark, sf):
-    s = st.rating_summary(_split(spark, sf)[0], "u")
+    s = st.rating_summary(_train(spark, sf), "u")
     return s.select("u", "n", out(F.col("mean")).alias("mean"), out(F.col("std")).alias("std"))
 
 
 def q_sparse_matmul(spark, sf):
-    train = _split(spark, sf)[0]
-    a = train.select(F.col("u").alias("row"), F.col("i").alias("k"), F.col("r").alias("val"))
-    b = train.select(F.col("i").alias("k"), F.col("u").alias("col"), F.col("r").alias("val"))
+    """Ratings (user x item) times an item table (item x brand, list price in
+    hundredths): what a user's ratings are worth by brand."""
+    a = _train(spark, sf).select(F.col("u").alias("row"), F.col("i").alias("k"), F.col("r").alias("val"))
+    part = read_table(spark, sf, "part", "p_partkey", "p_brand", "p_retailprice")
+    price = hundredths(F.col("p_retailprice")).cast("double")
+    b = part.select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("col"), price.alias("val"))
     return sparse_matmul(a, b)
 
 
 def _unit(spark, sf):
     train, test = _split(spark, sf)
-    stats, devs, unit, _, _ = base_frames(train, PERSIST)
+    stats, devs, unit, _, _ = base_frames(train, PERSIST, duplicates=None)
     return train, test, unit
 
 
@@ -164,19 +168,19 @@ def q_similarity_all_pairs(spark, sf):
 
 
 def q_similarity_for_users(spark, sf):
-    _, test, unit = _unit(spark, sf)
-    return similarity_for_users(unit, test.select("u"))
+    """Similarities of the customers of one nation to everyone."""
+    _, _, unit = _unit(spark, sf)
+    customer = read_table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    users = customer.where(F.col("c_nationkey") == p.NATION).select(F.col("c_custkey").alias("u"))
+    return similarity_for_users(unit, users)
 
 
 def q_similarity_lookup(spark, sf):
+    """Of every test item, the similarity of its first and last rater (by id):
+    a request list as long as the items, looked up pair by pair."""
     _, test, unit = _unit(spark, sf)
-    # Pairs of users who rated the same item in the test split: a
-    # per-item self-join, so a popular item is split into blocks.
-    a = test.select("u", "i")
-    b = test.select(F.col("u").alias("v"), "i")
-    pairs = blocked_join(a, b, ["i"], "u", "v", condition=lambda: F.col("u") != F.col("v"),
-                         self_join=True).select("u", "v").distinct()
-    return similarity_lookup(mirror(similarity_half(unit)), pairs)
+    pairs = test.groupBy("i").agg(F.min("u").alias("u"), F.max("u").alias("v")).where("u <> v")
+    return similarity_for_pairs(unit, pairs)
 
 
 def q_topk_neighbors(spark, sf):
@@ -213,6 +217,14 @@ def q_mae_exact(spark, sf):
     return _mae_out(mae(score_pairs(test, model)))
 
 
+def q_mae_lines(spark, sf):
+    """The exact model scored on every test order line, repeated (u, i) rows
+    included: ``n_test`` is the number of lines."""
+    model = _exact(spark, sf)[2]
+    lines = split_train_test(raw_line_ratings(spark, sf))[1]
+    return _mae_out(mae(score_pairs(lines, model)))
+
+
 def q_mae_user_avg(spark, sf):
     train, test = _split(spark, sf)
     s = st.user_stats(train)
@@ -220,52 +232,50 @@ def q_mae_user_avg(spark, sf):
     return _mae_out(mae(user_average_predictions(test, s, g)))
 
 
-def _assignments(spark, sf):
-    train = _split(spark, sf)[0]
-    return assign_partitions(st.user_stats(train).select("u"), p.PARTITIONS, p.REPLICATION)
+def _users(spark, sf):
+    return st.user_stats(_train(spark, sf)).select("u")
 
 
 def q_assign_partitions(spark, sf):
-    return _assignments(spark, sf)
+    return assign_partitions(_users(spark, sf), p.PARTITIONS, p.REPLICATION)
 
 
 def q_partition_sizes(spark, sf):
-    return partition_sizes(_assignments(spark, sf))
+    return partition_sizes(assign_partitions(_users(spark, sf), p.PARTITIONS, p.REPLICATION))
 
 
 def q_user_partitions(spark, sf):
-    return user_partitions(_assignments(spark, sf))
+    return user_partitions(_users(spark, sf), p.PARTITIONS, p.REPLICATION)
 
 
 def q_partition_unit_ratings(spark, sf):
-    train = _split(spark, sf)[0]
-    stats, devs, unit, _, _ = base_frames(train, PERSIST)
-    a = assign_partitions(stats.select("u"), p.PARTITIONS, p.REPLICATION)
-    return unit.join(a.select("u", "part"), "u").select("part", "u", "i", out(F.col("w")).alias("w"))
+    unit = _unit(spark, sf)[2]
+    parts = F.explode(ranked_parts(F.col("u"), p.PARTITIONS, p.REPLICATION))
+    return unit.select(parts.alias("part"), "u", "i", out(F.col("w")).alias("w"))
 
 
 def _candidates(spark, sf):
     train = _split(spark, sf)[0]
-    stats, devs, unit, _, n_users = base_frames(train, PERSIST)
+    stats, devs, unit, _, n_users = base_frames(train, PERSIST, duplicates=None)
     arrays = part_arrays(stats.select("u"), p.PARTITIONS, p.REPLICATION)
-    cands = candidate_similarities(unit, arrays, p.PARTITIONS, p.REPLICATION)
-    return level_candidates(cands, [p.REPLICATION]), n_users
+    return candidate_similarities(unit, arrays, p.PARTITIONS, p.REPLICATION), n_users
 
 
 def q_similarity_blocked(spark, sf):
-    cands, _ = _candidates(spark, sf)
-    return mirror(cands.select("u", "v", "sim"))
+    return mirror(_candidates(spark, sf)[0].select("u", "v", "sim"))
 
 
-def q_topk_per_partition(spark, sf):
+def _part_lists(spark, sf):
     cands, n = _candidates(spark, sf)
-    return per_part_topk(cands, p.K, n).drop("level")
+    return per_part_topk(level_candidates(cands, [p.REPLICATION]), p.K, n)
+
+
+def q_topk_per_partition(spark, sf):
+    return _part_lists(spark, sf).drop("level")
 
 
 def q_merge_topk(spark, sf):
-    cands, n = _candidates(spark, sf)
-    lists = per_part_topk(cands, p.K, n).drop("level", "rank")
-    return merge_topk(lists, p.K)
+    return merge_topk(_part_lists(spark, sf).drop("level", "rank"), p.K)
 
 
 def q_topk_approx(spark, sf):
@@ -279,13 +289,12 @@ def q_mae_approx(spark, sf):
 
 def q_replication_sweep(spark, sf):
     train, test = _split(spark, sf)
-    r = replication_sweep(train, test, p.K, p.PARTITIONS, p.LEVELS, persist=PERSIST)
+    r = replication_sweep(train, test, p.K, p.PARTITIONS, p.LEVELS, persist=PERSIST, duplicates=None)
     return r.select("level", out(F.col("mae")).alias("mae"), "n_test")
 
 
 def q_candidate_ratio(spark, sf):
-    train = _split(spark, sf)[0]
-    c = candidate_ratio(st.user_stats(train).select("u"), p.PARTITIONS, p.LEVELS)
+    c = candidate_ratio(_users(spark, sf), p.PARTITIONS, p.LEVELS)
     return c.select("level", "candidate_pairs", "all_pairs",
                     out(F.col("candidate_ratio")).alias("candidate_ratio"), "block_pairs",
                     out(F.col("block_ratio")).alias("block_ratio"))

@@ -68,28 +68,35 @@ def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 128 <
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a laptop or a test run) a private
-    folder is created so that ``checkpoint()`` still works."""
+    Only on a one-machine master with nothing configured (a laptop or a test
+    run) a private folder is created; on a cluster that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="knnrec-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_pinned: list[DataFrame] = []
+
+
 def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
     """Pin an intermediate that several consumers read.
 
     ``persist``: MEMORY_AND_DISK; a lost block is recomputed from lineage.
+    Freed by ``release`` or, with all others, by ``release_all``.
     ``checkpoint``: written to the reliable checkpoint folder, which cuts
     the lineage (for long iterative plans or flaky executors).
     ``none``: leave it lazy."""
     if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        _pinned.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -103,3 +110,9 @@ def release(*frames: DataFrame) -> None:
         if df is not None and df.is_cached:
             df.unpersist(blocking=False)
 
+
+def release_all() -> None:
+    """Free everything ``materialize`` has persisted: call it when a result
+    has been written."""
+    while _pinned:
+        release(_pinned.pop())

@@ -155,32 +155,39 @@ def reject_rating_lines(
     return parsed.where(F.col("reason").isNotNull()).select(F.col("value").alias("line"), "reason")
 
 
-def read_rating_text(spark: SparkSession, path: str, sep: str = "\t", **kwargs) -> DataFrame:
-    """Distributed scan of rating text files (one split per file block)."""
-    return parse_rating_lines(spark.read.text(path), sep=sep, **kwargs)
+def read_rating_text(
+    spark: SparkSession, path: str, sep: str = "\t", duplicates: str | None = None, **kwargs
+) -> DataFrame:
+    """Distributed scan of rating text files (one split per file block).
+
+    ``duplicates``: policy for several lines of one (u, i), see
+    ``dedup_ratings``; None keeps every line (a test set is scored line by
+    line; ``fit_exact`` and ``fit_approx`` apply a policy of their own)."""
+    ratings = parse_rating_lines(spark.read.text(path), sep=sep, **kwargs)
+    return ratings if duplicates is None else dedup_ratings(ratings, duplicates)
 
 
-# Literal lines mixed into the generated text to exercise every reject
-# path (fixed values, FIXTURES.md): header, blank, short, float id,
-# overflow, bad item, bad rating.
-JUNK_LINES_TAB = [
-    "user\titem\trating",
-    "",
-    "7",
-    "1.5\t2\t3",
-    "99999999999\t1\t3",
-    "4\tx\t3",
-    "4\t5\tx",
-]
+# Lines of one rating in DAMAGE_MOD are damaged, in one of these ways each
+# (fixed rule, FIXTURES.md), so rejects of every kind grow with the data.
+DAMAGE_A, DAMAGE_B, DAMAGE_MOD = 13, 7, 97
+DAMAGES = ("short", "float user", "overflow user", "bad item", "bad rating", "range", "blank")
 
 
 def rating_lines(ratings: DataFrame, sep: str = "\t") -> DataFrame:
-    """Render ratings as 1-based text lines (with an unused fourth field)
-    and append the junk lines, re-separated with ``sep``."""
-    spark = ratings.sparkSession
-    lines = ratings.select(
-        F.concat_ws(sep, (F.col("u") + 1).cast("string"), (F.col("i") + 1).cast("string"),
-                    F.col("r").cast("string"), F.lit("0")).alias("value")
-    )
-    junk = spark.createDataFrame([(s.replace("\t", sep),) for s in JUNK_LINES_TAB], "value string")
-    return lines.unionByName(junk)
+    """Render ratings as 1-based text lines (with an unused fourth field);
+    the damage rule spoils some of them."""
+    u, i, r = (F.col("u") + 1).cast("string"), (F.col("i") + 1).cast("string"), F.col("r").cast("string")
+    spoiled = {
+        "short": F.concat_ws(sep, u, i),
+        "float user": F.concat_ws(sep, F.concat(u, F.lit(".5")), i, r),
+        "overflow user": F.concat_ws(sep, F.concat(F.lit("99999999999"), u), i, r),
+        "bad item": F.concat_ws(sep, u, F.concat(F.lit("x"), i), r),
+        "bad rating": F.concat_ws(sep, u, i, F.lit("five")),
+        "range": F.concat_ws(sep, u, i, (F.col("r") + 5).cast("string")),
+        "blank": F.lit(""),
+    }
+    kind = (F.col("u") * DAMAGE_A + F.col("i") * DAMAGE_B) % DAMAGE_MOD
+    line = F.concat_ws(sep, u, i, r, F.lit("0"))
+    for at, name in enumerate(DAMAGES):
+        line = F.when(kind == at, spoiled[name]).otherwise(line)
+    return ratings.select(line.alias("value"))

@@ -21,7 +21,7 @@ def _read(spark, folder):
 @pytest.mark.parametrize("app", ["exact", "approximate"])
 def test_knn_app_on_text_files(spark, tmp_path, app):
     train, test = str(tmp_path / "train.txt"), str(tmp_path / "test.txt")
-    _write(train, TINY, "::")
+    _write(train, TINY + TINY[:3], "::")  # repeated lines: averaged
     _write(test, [(3, 1, 5.0), (4, 3, 5.0), (4, 2, 3.0)], "::")
     out = str(tmp_path / "out")
     args = [app, "--train", train, "--test", test, "--json", out, "--k", "2", "--sep", "::",
@@ -36,11 +36,3 @@ def test_knn_app_on_text_files(spark, tmp_path, app):
     assert row.predictions["4:2"] == pytest.approx(5.0)
     assert row.mae == pytest.approx(0.0) and row.n_test == 3
 
-
-def test_economics_app(spark, tmp_path):
-    out = str(tmp_path / "eco")
-    main(["economics", "--json", out])
-    row = _read(spark, out)
-    assert row.min_renting_days == 1893
-    assert (row.min_renting_days_idle, row.min_renting_days_busy) == (926, 976)
-    assert row.n_small_for_big_price == 355

@@ -1,29 +1,8 @@
-import json
+from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
-from knnrec.operators.cost import calculator_answers, days_until_buying_wins
-
-# The reference machine and small-board scenario (fixed values of the
-# calculator's question set), with the answers it reported.
-SCENARIO = dict(big_price=38600.0, big_rent_per_day=20.4, big_ram_gb=24.0 * 64, big_cores=28.0,
-                n_small=4.0, small_price=108.48, small_ram_gb=8.0, watts_idle=3.0, watts_busy=4.0,
-                price_per_kwh=0.25, cost_gb_second=1.6e-7, cost_cpu_second=1.14e-6, small_per_core=4.0)
-EXPECTED = {
-    "min_renting_days": 1893, "container_daily_cost": 0.540864,
-    "small_daily_cost_idle": 0.072, "small_daily_cost_busy": 0.096,
-    "min_renting_days_idle": 926, "min_renting_days_busy": 976,
-    "n_small_for_big_price": 355, "ram_ratio": 1.8489583333333333,
-    "compute_ratio": 3.169642857142857,
-}
-
-
-def test_calculator_reproduces_reported_answers(spark):
-    df = spark.createDataFrame([SCENARIO])
-    row = calculator_answers(df).first().asDict()
-    for key, want in EXPECTED.items():
-        assert row[key] == pytest.approx(want, rel=1e-12), key
+from knnrec.operators.cost import breakeven_days, budget_units, days_until_buying_wins, usage_daily_cost
 
 
 def test_no_break_even_without_margin(spark):
@@ -31,3 +10,25 @@ def test_no_break_even_without_margin(spark):
                                "price double, rent double, own double")
     got = [r[0] for r in df.select(days_until_buying_wins(F.col("price"), F.col("rent"), F.col("own"))).collect()]
     assert got == [None, None, 50]
+
+
+def test_usage_with_an_unknown_event_type(spark):
+    day = datetime(2024, 5, 1, 12)
+    events = spark.createDataFrame(
+        [(day, 1, "view", 0.01), (day, 1, "refund", 2.0), (day, 2, "refund", 3.5), (day, 3, "view", 100.25), (day, 3, "view", 0.5)],
+        "ts timestamp, user_id long, event_type string, value double")
+    got = {r.user_id: r for r in usage_daily_cost(events, [("view", 1.0, 0.25)], 1.6e-7, 1.14e-6).collect()}
+    assert (got[1].n_events, got[1].n_unpriced, got[1].usage_seconds, got[1].daily_cost) == (2, 1, 2.01, 4.45e-9)
+    assert (got[2].n_events, got[2].n_unpriced, got[2].daily_cost) == (1, 1, None)
+    assert got[3].daily_cost == 4.483375e-05 and got[3].usage_seconds == 100.75
+
+
+def test_unsold_parts_and_idle_suppliers_stay(spark):
+    part = spark.createDataFrame([(1, 900.0), (2, 950.0)], "p_partkey long, p_retailprice double")
+    items = spark.createDataFrame([(1, 7, 100.0, 0.1, datetime(2024, 1, 1))],
+                                  "l_partkey long, l_suppkey long, l_extendedprice double, l_discount double, l_shipdate timestamp")
+    got = {r.p_partkey: r for r in breakeven_days(part, items, 10.0).collect()}
+    assert got[1].days == 100 and got[2].days is None and got[2].price == 9500.0
+    supplier = spark.createDataFrame([(7, 5000.0), (8, 1.0)], "s_suppkey long, s_acctbal double")
+    got = {r.s_suppkey: r for r in budget_units(supplier, part, items, 8.0, 1536.0, 28, 4).collect()}
+    assert got[7].units == 5 and got[8].units is None and got[8].budget == 1.0

@@ -227,14 +227,120 @@ def test_dataset_shape_and_sums(spark):
     assert summ.mean == 3.0 and summ.std == 1.0
 
 
-def test_hot_key_cap_leaves_results_exact(spark):
-    # Only the hottest key is split; the other hot keys join unsplit.
-    rows = random_ratings(40, 6, 0.8, seed=12)
+def test_every_key_above_the_bound_is_split(spark):
+    from knnrec.operators.similarity import hot_key_blocks
+
+    rows = random_ratings(60, 30, 0.8, seed=12)
     train = ratings_df(spark, rows)
     unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    count = {r.i: r["count"] for r in unit.groupBy("i").count().collect()}
+    hot = {r.i: r._nb for r in hot_key_blocks([unit.select("i")], ["i"], block_rows=10).collect()}
+    assert hot == {i: -(-c // 10) for i, c in count.items() if c > 10} and len(hot) == 30
     plain = as_dict(similarity_half(unit), ["u", "v"], "sim")
-    capped = as_dict(similarity_half(unit, block_rows=3, max_hot_keys=1), ["u", "v"], "sim")
-    assert capped == plain
+    assert as_dict(similarity_half(unit, block_rows=10), ["u", "v"], "sim") == plain
+
+
+def test_no_limit_and_no_forced_broadcast_of_hot_keys(spark):
+    train = ratings_df(spark, random_ratings(20, 10, 0.5, seed=1))
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    plan = similarity_half(unit)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "hint" not in plan.lower() and "strategy=broadcast" not in plan
+
+
+def test_repeated_train_rows_keep_cosines_in_range(spark):
+    rows = random_ratings(15, 8, 0.6, seed=3)
+    repeated = ratings_df(spark, rows + rows[:40] + rows[:10])
+    for policy in ("avg", "sum"):
+        model = fit_exact(repeated, 4, duplicates=policy, hi=15.0)
+        assert model.neighbors.agg(F.max(F.abs("sim"))).first()[0] <= 1.0
+        assert model.devs.groupBy("u", "i").count().where("count > 1").count() == 0
+        model.unpersist()
+    clean, double = fit_exact(ratings_df(spark, rows), 4), fit_exact(repeated, 4)
+    key = lambda m: {(r.u, r.v, r.sim, r.rank) for r in m.neighbors.collect()}
+    assert key(clean) == key(double)
+    with pytest.raises(Exception, match="duplicate rating"):
+        fit_exact(repeated, 4, duplicates="error").neighbors.collect()
+
+
+def test_every_test_row_is_scored(spark):
+    model = fit_exact(ratings_df(spark, TINY), 2)
+    test = ratings_df(spark, [(3, 1, 5), (3, 1, 5), (3, 1, 1), (4, 3, 5), (9, 9, 2)])
+    scored = score_pairs(test, model)
+    assert sorted((r.u, r.i, r.r, r.prediction) for r in scored.collect()) == [
+        (3, 1, 1.0, 5.0), (3, 1, 5.0, 5.0), (3, 1, 5.0, 5.0), (4, 3, 5.0, 5.0), (9, 9, 2.0, 3.0)]
+    assert mae(scored).first().n_test == 5
+    model.unpersist()
+
+
+def test_ranks_do_not_depend_on_the_shuffle(spark):
+    rows = random_ratings(60, 25, 0.4, seed=31)
+    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            train = ratings_df(spark, rows).repartition(int(n))
+            model = fit_exact(train, 5, persist="none")
+            top = recommend_top_n(score_all_items(model), train, 3)
+            seen.append(sorted((r.u, r.i, r["rank"]) for r in top.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1]
+
+
+def test_similarity_for_pairs_matches_all_pairs(spark):
+    from knnrec.operators.similarity import similarity_for_pairs
+
+    rows = random_ratings(20, 10, 0.4, seed=29)
+    train = ratings_df(spark, rows)
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    every = as_dict(mirror(similarity_half(unit)), ["u", "v"], "sim")
+    pairs = [(u, v) for u in range(0, 22, 3) for v in range(22) if u != v]
+    got = as_dict(similarity_for_pairs(unit, spark.createDataFrame(pairs + pairs[:5], "u long, v long")), ["u", "v"], "sim")
+    assert got == {p: every.get(p, 0.0) for p in pairs}
+
+
+def test_rounding_of_large_amounts(spark):
+    from knnrec.functions.columns import out
+
+    values = [2.5e13, -2.5e13, 9.3e15, 1e300, 1.23456789, -0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(out(F.col("x"))).collect()] == [2.5e13, -2.5e13, 9.3e15, 1e300, 1.234568, 0.0, None]
+
+
+def test_released_frames_are_not_cached(spark):
+    from knnrec.session import release_all
+
+    model = fit_exact(ratings_df(spark, TINY), 2)
+    model.neighbors.collect()
+    assert model.neighbors.is_cached
+    release_all()
+    assert not model.neighbors.is_cached
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from knnrec.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+
+
+def test_skewed_ratings_give_even_cells(spark):
+    """One item rated by all users and many rated by most: no cell of the
+    split join exceeds the bound, and the counts of rows are even."""
+    from knnrec.operators.similarity import hot_key_blocks
+
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(300) for i in range(12) if i == 0 or (u + i) % 3]
+    train = ratings_df(spark, rows)
+    unit = unit_ratings(normalized_deviations(train, st.user_stats(train)))
+    hot = hot_key_blocks([unit.select("i")], ["i"], block_rows=40)
+    dealt = unit.join(hot, "i").groupBy("i", F.pmod(F.xxhash64("u"), F.col("_nb")).alias("b")).count()
+    top = dealt.agg(F.max("count"), F.min("count")).first()
+    assert top[0] <= 2 * 40 and top[1] >= 10
+    assert as_dict(similarity_half(unit, block_rows=40), ["u", "v"], "sim") == as_dict(similarity_half(unit), ["u", "v"], "sim")
 
 
 def test_report_sink_writes_json(spark, tmp_path):

@@ -51,9 +51,22 @@ def test_read_rating_text_file(spark):
 
 def test_round_trip_through_text(spark):
     ratings = rating_view(spark, SF)
+    spoiled = (F.col("u") * 13 + F.col("i") * 7) % 97 < 7
+    whole = ratings.where(~spoiled)
     parsed = parse_rating_lines(rating_lines(ratings, "\t"), "\t")
-    assert parsed.exceptAll(ratings).count() == 0 and ratings.exceptAll(parsed).count() == 0
-    assert reject_rating_lines(rating_lines(ratings, "::"), "::").count() == 7
+    assert parsed.exceptAll(whole).count() == 0 and whole.exceptAll(parsed).count() == 0
+    rejects = reject_rating_lines(rating_lines(ratings, "::"), "::")
+    assert rejects.count() == ratings.where(spoiled).count() > 100
+    assert {r.reason for r in rejects.select("reason").distinct().collect()} == {"short", "user", "item", "rating", "range"}
+
+
+def test_duplicate_lines_of_a_file(spark):
+    folder = tempfile.mkdtemp(prefix="knnrec-text-")
+    path = os.path.join(folder, "ratings.tsv")
+    with open(path, "w") as fh:
+        fh.write("1\t10\t4\n1\t10\t2\n2\t10\t5\n")
+    assert read_rating_text(spark, path).count() == 3
+    assert {tuple(r) for r in read_rating_text(spark, path, duplicates="avg").collect()} == {(0, 9, 3.0), (1, 9, 5.0)}
 
 
 def test_dedup_policies(spark):
