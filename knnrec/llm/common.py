@@ -50,7 +50,7 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     and survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -40,7 +40,8 @@ PARENT = [f"r{s}" for s in range(SAMPLES)]
 
 
 def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes with an end after each text, their contexts, text offsets."""
+    """Token hashes with an end after each text, their contexts, text offsets.
+    The context is the class of the token before."""
     words = Words(buf, offs)
     token = np.empty(len(words.hash) + words.texts, dtype=np.uint64)
     at = words.first + np.arange(words.texts + 1)
@@ -49,26 +50,31 @@ def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[at[:-1]] = START
-    return token, (mix64(before) % np.uint64(CONTEXTS)).astype(np.int64), at
+    return token, context_of(before), at
 
 
-def pack_codes(codes: np.ndarray, compressor) -> bytes:
-    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+def context_of(token: np.ndarray) -> np.ndarray:
+    return (mix64(token) % np.uint64(CONTEXTS)).astype(np.int64)
+
+
+def pack_numbers(numbers: np.ndarray, compressor) -> bytes:
+    """Whole numbers below 2^32, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
     return compressor.compress(planes.tobytes())
 
 
-def unpack_codes(blob: bytes, decompressor) -> np.ndarray:
+def unpack_numbers(blob: bytes, decompressor) -> np.ndarray:
     planes = np.frombuffer(decompressor.decompress(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 SCAN = "kind int, chunk long, id long, held_out boolean, n long, codes binary, " + ", ".join(f"{c} int" for c in COUNTS)
 
 
 def read_chunks(docs: DataFrame) -> DataFrame:
-    """kind 0: a text (id, held_out, n tokens, packed codes: place in the
-    chunk's dictionary x CONTEXTS + context). kind 1: a dictionary entry (id:
-    word hash, n: place, training counts by context)."""
+    """kind 0: a text (id, held_out, n tokens, packed codes: places of its
+    tokens in the chunk's dictionary). kind 1: a dictionary entry (id: word
+    hash, n: place, training counts by context)."""
     names = [x.split()[0] for x in SCAN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,12 +94,12 @@ def read_chunks(docs: DataFrame) -> DataFrame:
             order = np.argsort(-times, kind="stable")  # small codes for common words
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
-            code = rank[place] * CONTEXTS + context
+            code = rank[place]
             train = np.repeat(~held, lengths)
-            counts = np.bincount(code[train], minlength=len(word) * CONTEXTS).reshape(-1, CONTEXTS)
+            counts = np.bincount((code * CONTEXTS + context)[train], minlength=len(word) * CONTEXTS).reshape(-1, CONTEXTS)
             chunk = (task_id() << 24) + number
             ends = np.concatenate(([0], np.cumsum(lengths)))
-            blobs = [pack_codes(code[a:b], compressor) for a, b in zip(ends, ends[1:], strict=False)]
+            blobs = [pack_numbers(code[a:b], compressor) for a, b in zip(ends, ends[1:], strict=False)]
             n = len(blobs)
             empty = [pa.nulls(n, pa.int32())] * CONTEXTS
             yield pa.RecordBatch.from_arrays(
@@ -294,9 +300,7 @@ class Predictive:
         self.backoff = (STRENGTH + d1 * tables) / self.served
         self.seats = STRENGTH + tables.sum(axis=1)
         self.fresh = (STRENGTH + d0 * parent) * totals["base"] / self.seats
-        self.once = (1 - d0) / self.seats + self.fresh  # parent's, a word seen once
         self.unknown = (self.backoff * self.fresh[:, None]).mean(axis=0)
-        self.single = (1 - d1) / self.served  # above backoff, a pair seen once
 
     def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """P of the parent [samples, words]."""
@@ -307,61 +311,142 @@ class Predictive:
         return (counts - self.d1 * tables.mean(axis=0)) / self.served
 
 
-def word_facts(seated: DataFrame, model: Predictive) -> DataFrame:
-    """word, c (its training count), facts. One occurrence: its context, one
-    byte. More: the parent's probability of each sample, then (context,
-    addition) of the contexts it was seen in."""
-    pair = np.dtype([("u", "u1"), ("p", "<f8")])
+#: Numbers of a word's facts with k contexts: counts, tables, parent's tables.
+SIZES = [k + SAMPLES * k + SAMPLES for k in range(CONTEXTS + 1)]
+WIDTHS = (1, 2, 4, 8)
+
+
+def ragged(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+
+
+def encode_facts(counts: np.ndarray, tables: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of each word's facts. A word that occurs once: its
+    context. Others: bytes per number, a bit for each context, the numbers."""
+    once = counts.sum(axis=1) == 1
+    seen = counts > 0
+    k = seen.sum(axis=1)
+    width = np.searchsorted([1 << 8, 1 << 16, 1 << 32], counts.sum(axis=1), "right")
+    lengths = np.where(once, 1, 2 + np.array(SIZES)[k] * np.array(WIDTHS)[width])
+    offs = ragged(lengths)
+    data = np.zeros(offs[-1], np.uint8)
+    data[offs[:-1][once]] = seen[once].argmax(axis=1)
+    bits = np.packbits(seen, axis=1, bitorder="little")[:, 0]
+    for w, bytes_each in enumerate(WIDTHS):
+        for m in range(1, CONTEXTS + 1):
+            rows = np.flatnonzero(~once & (width == w) & (k == m))
+            if not len(rows):
+                continue
+            at = seen[rows]
+            numbers = np.concatenate(
+                [counts[rows][at].reshape(-1, m), *(t[rows][at].reshape(-1, m) for t in tables), parent[rows]], axis=1
+            )
+            raw = numbers.astype(f"<u{bytes_each}").view(np.uint8).reshape(len(rows), -1)
+            raw = np.concatenate((np.full((len(rows), 1), w, np.uint8), bits[rows][:, None], raw), axis=1)
+            data[offs[:-1][rows][:, None] + np.arange(raw.shape[1])] = raw
+    return data, offs
+
+
+def decode_facts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, tables and parent's tables of each word; no bytes: all 0."""
+    n, lengths = len(offs) - 1, np.diff(offs)
+    counts, tables = np.zeros((n, CONTEXTS), np.int64), np.zeros((SAMPLES, n, CONTEXTS), np.int64)
+    parent = np.zeros((n, SAMPLES), np.int64)
+    once = np.flatnonzero(lengths == 1)
+    context = data[offs[once]].astype(np.int64)
+    counts[once, context], tables[:, once, context], parent[once] = 1, 1, 1
+    many = np.flatnonzero(lengths > 1)
+    width, bits = data[offs[many]], data[offs[many] + 1]
+    seen = np.unpackbits(bits[:, None], axis=1, bitorder="little").astype(bool)[:, :CONTEXTS]
+    k = seen.sum(axis=1)
+    for w, bytes_each in enumerate(WIDTHS):
+        for m in range(1, CONTEXTS + 1):
+            own = np.flatnonzero((width == w) & (k == m))
+            if not len(own):
+                continue
+            rows, at = many[own], seen[own]
+            raw = data[(offs[rows] + 2)[:, None] + np.arange(SIZES[m] * bytes_each)]
+            numbers = raw.view(f"<u{bytes_each}").astype(np.int64)
+            row, u = np.nonzero(at)
+            counts[rows[row], u] = numbers[:, :m].ravel()
+            for s in range(SAMPLES):
+                tables[s, rows[row], u] = numbers[:, m * (s + 1) : m * (s + 2)].ravel()
+            parent[rows] = numbers[:, -SAMPLES:]
+    return counts, tables, parent
+
+
+def binary_column(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    array = column.combine_chunks().fill_null(b"").cast(pa.large_binary())
+    _, offsets, data = array.buffers()
+    offs = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offs
+
+
+def word_facts(seated: DataFrame) -> DataFrame:
+    """word, facts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in large_batches(batches, 40_000):
-            col = lambda c: t[c].to_numpy()
-            counts = np.stack([col(c) for c in COUNTS], axis=1)
-            tables = np.stack([np.stack([col(c) for c in cols], axis=1) for cols in TABLES])
-            parent = model.parent(tables.sum(axis=2), np.stack([col(c) for c in PARENT])).T.astype("<f8", order="C")
-            total = counts.sum(axis=1)
-            row, context = np.nonzero(counts)
-            pairs = np.empty(len(row), pair)
-            pairs["u"], pairs["p"] = context, model.seen(counts, tables)[row, context]
-            ends = np.searchsorted(row, np.arange(len(counts) + 1))
-            facts = [
-                bytes([int(pairs["u"][a])]) if n == 1 else p.tobytes() + pairs[a:b].tobytes()
-                for n, p, a, b in zip(total.tolist(), parent, ends, ends[1:], strict=False)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [t["word"].combine_chunks(), pa.array(total), pa.array(facts, pa.binary())], names=["word", "c", "facts"]
-            )
+            stack = lambda cols: np.stack([t[c].to_numpy() for c in cols], axis=1)
+            data, offs = encode_facts(stack(COUNTS), np.stack([stack(cols) for cols in TABLES]), stack(PARENT))
+            facts = pa.Array.from_buffers(pa.large_binary(), t.num_rows, [None, pa.py_buffer(offs), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([t["word"].combine_chunks(), facts.cast(pa.binary())], names=["word", "facts"])
+
+    return seated.mapInArrow(run, "word long, facts binary")
 
-    return seated.mapInArrow(run, "word long, c long, facts binary")
-
-
-def log_table(entries: pa.Table, model: Predictive) -> tuple[np.ndarray, np.ndarray]:
-    """Of a chunk's dictionary: log10 P [places, contexts], training counts."""
-    place, c = entries["place"].to_numpy(), entries["c"].fill_null(0).to_numpy()
-    p = np.empty((len(place), CONTEXTS))
-    p[place] = model.unknown
-    counts = np.zeros(len(place), np.int64)
-    counts[place] = c
-    once = (model.backoff * model.once[:, None]).mean(axis=0)
-    facts = entries["facts"].combine_chunks()
-    offs = np.frombuffer(facts.buffers()[1], np.int32)[facts.offset : facts.offset + len(facts) + 1].astype(np.int64)
-    data = np.frombuffer(facts.buffers()[2], np.uint8) if facts.buffers()[2] is not None else np.zeros(0, np.uint8)
-    single = c == 1
-    at = place[single]
-    p[at] = once
-    u = data[offs[:-1][single]].astype(np.int64)
-    p[at, u] += model.single[u]
-    many = np.flatnonzero(c > 1)
-    head = 8 * SAMPLES
-    parent = data[(offs[many][:, None] + np.arange(head)).ravel()].view("<f8").reshape(-1, SAMPLES)
-    p[place[many]] = parent @ model.backoff / SAMPLES
-    pairs = (offs[many + 1] - offs[many] - head) // 9
-    row = np.repeat(np.arange(len(many)), pairs)
-    first = np.repeat(offs[many] + head, pairs) + 9 * (np.arange(len(row)) - np.repeat(np.cumsum(pairs) - pairs, pairs))
-    context = data[first].astype(np.int64)
-    added = data[(first[:, None] + 1 + np.arange(8)).ravel()].view("<f8") if len(first) else np.zeros(0)
-    p[place[many][row], context] += added
-    return np.log10(p), counts
+
+def bundle(fetched: DataFrame) -> DataFrame:
+    """(of_chunk, blob): entries (chunk, word, place, facts) of a chunk, many
+    to a row: places with the class of the word, lengths, and facts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        compressor = zstandard.ZstdCompressor(level=3)
+        for t in large_batches(batches, 500_000):
+            chunk = t["chunk"].to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            data, offs = binary_column(t["facts"])
+            place = t["place"].to_numpy() * CONTEXTS + context_of(t["word"].to_numpy().view(np.uint64))
+            cuts = np.concatenate((np.flatnonzero(np.diff(chunk[order], prepend=chunk[order][:1] - 1)), [len(order)]))
+            chunks, blobs = [], []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                rows = order[a:b]
+                length = offs[rows + 1] - offs[rows]
+                ends = ragged(length)
+                own = data[np.repeat(offs[rows] - ends[:-1], length) + np.arange(ends[-1])]
+                places = pack_numbers(place[rows], compressor)
+                lengths = pack_numbers(length, compressor)
+                head = np.array([len(rows), len(places), len(lengths)], "<i8").tobytes()
+                chunks.append(int(chunk[rows[0]]))
+                blobs.append(head + places + lengths + compressor.compress(own.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(blobs, pa.binary())], names=["of_chunk", "blob"])
+
+    return fetched.mapInArrow(run, "of_chunk long, blob binary")
+
+
+def unbundle(blob: bytes, decompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places, classes, facts, offsets."""
+    _, a, b = np.frombuffer(blob[:24], "<i8").tolist()
+    place = unpack_numbers(blob[24 : 24 + a], decompressor)
+    length = unpack_numbers(blob[24 + a : 24 + a + b], decompressor)
+    facts = np.frombuffer(decompressor.decompress(blob[24 + a + b :]), np.uint8)
+    return place // CONTEXTS, place % CONTEXTS, facts, ragged(length)
+
+
+def log_table(blobs: pa.ChunkedArray, model: Predictive, decompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a chunk's dictionary, by place: log10 P in each context, training
+    counts, the context that the word makes for the next token."""
+    parts = [unbundle(b.as_py(), decompressor) for b in blobs]
+    size = sum(len(x[0]) for x in parts)
+    logs, total, makes = np.empty((size, CONTEXTS)), np.empty(size, np.int64), np.empty(size, np.int64)
+    for place, context, facts, offs in parts:
+        counts, tables, parent = decode_facts(facts, offs)
+        known = counts.any(axis=1)
+        base = model.parent(tables.sum(axis=2), parent.T).T @ model.backoff / SAMPLES
+        p = np.where(known[:, None], base + np.where(counts > 0, model.seen(counts, tables), 0), model.unknown)
+        logs[place], total[place], makes[place] = np.log10(p), counts.sum(axis=1), context
+    return logs, total, makes
 
 
 def score(docs: DataFrame, seed: int = 5) -> DataFrame:
@@ -405,23 +490,22 @@ def score(docs: DataFrame, seed: int = 5) -> DataFrame:
     seated = stage(seat_words(vocabulary, totals, seed), "lm-seated")
     sampled = seated.agg(*(F.sum(c).alias(c) for cols in [*TABLES, PARENT] for c in cols)).first()
     model = Predictive(totals, {k: v or 0 for k, v in sampled.asDict().items()})
-    fetched = entries.select("chunk", F.col("id").alias("word"), F.col("n").alias("place")).join(
-        word_facts(seated, model), "word", "left"
-    )
+    fetched = entries.select("chunk", F.col("id").alias("word"), F.col("n").alias("place")).join(word_facts(seated), "word", "left")
     n_train, n_words = int(served.sum()), facts["words"]
+    start = context_of(np.array([START]))
 
     def run(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
-        logs, counts = log_table(dictionary, model)
-        logs, base = logs.ravel(), np.log10((counts + 1) / (n_train + n_words + 1))
+        logs, counts, makes = log_table(dictionary["blob"], model, unpack)
+        base = np.log10((counts + 1) / (n_train + n_words + 1))
         known = counts > 0
         out: list[tuple] = []
         for blob in texts["codes"]:
-            code = unpack_codes(blob.as_py(), unpack)
-            place = code // CONTEXTS
-            out.append((int(known[place].sum()), float(base[place].sum()), float(logs[code].sum())))
+            place = unpack_numbers(blob.as_py(), unpack)
+            context = np.concatenate((start, makes[place[:-1]]))
+            out.append((int(known[place].sum()), float(base[place].sum()), float(logs[place, context].sum())))
         n_known, base_score, own = zip(*out, strict=True) if out else ((), (), ())
         n = texts["n"].to_numpy()
         own = np.array(own, float)
@@ -432,10 +516,9 @@ def score(docs: DataFrame, seed: int = 5) -> DataFrame:
         })
 
     texts = chunks.where("kind = 0").select("chunk", "id", "held_out", "n", "codes")
-    fetched = fetched.select(F.col("chunk").alias("of_chunk"), "place", "c", "facts")
     return (
         texts.groupBy("chunk")
-        .cogroup(fetched.groupBy("of_chunk"))
+        .cogroup(bundle(fetched.select("chunk", "word", "place", "facts")).groupBy("of_chunk"))
         .applyInArrow(
             run,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
