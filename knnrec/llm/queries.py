@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from knnrec.llm import chat, embedding_lsh, jaccard_tree, langid, lm_hpy, mixing, packing, quality_fm, quality_rules, toxicity
 from knnrec.llm.common import fold
+from knnrec.llm.oracle import ORACLES  # noqa: F401  read by __spark_entry__
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"))
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +70,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_best_fit_packing, op2_embedding_near_dedup, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op7_toxicity, op8_lm_scoring, op9_language_id, op10_chat_formatting)
 }
-
-ORACLES: dict[str, str] = {}

@@ -1,0 +1,59 @@
+"""Small document tables and plain Python counterparts."""
+
+import random
+import re
+import zlib
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use inside, as extra columns of their inputs.
+CLASHING = ["score", "rank", "key", "n", "task", "component", "label", "u", "kept", "length", "tokens", "h", "text_", "c0", "token"]
+SF = "/root/testdata/sf0.01"
+
+
+def crc(doc_id, modulus):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
+
+
+def prose(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" + rng.choice(["", "", "", ".", ","]) for _ in range(n))
+
+
+def edge_rows():
+    """Nulls in every column, empty, blank, short, very long, tied and
+    repeated rows."""
+    rng = random.Random(3)
+    rows = [
+        (1, None, "en", "s", 3), (2, "", "en", "s", 0), (3, " \n\t ", None, None, None), (4, "one two", "en", None, 7),
+        (None, "a text without an id " * 20, "en", "s", 400), (5, "123 456 !!! ...", "en", "s", 15),
+        (6, prose(rng, 60_000), "en", "s", 300_000), (7, "é" * 5000 + " \U0001f600 x", "fr", "s", None),
+        (8, "same words here again and again " * 30, "en", "s", 9), (8, "same words here again and again " * 30, "en", "s", 9),
+        (9, "same words here again and again " * 30, "en", "t", 9), (10, "<|endoftext|> a \\### Assistant: </turn> b", "en", "s", 40),
+    ]
+    return rows + [(100 + k, prose(rng, 80), rng.choice(["en", "de"]), "s", 500) for k in range(40)]
+
+
+def table(spark, rows, clash=False):
+    df = spark.createDataFrame(rows, DOCS)
+    if clash:
+        from pyspark.sql import functions as F
+
+        df = df.select("*", *(F.lit(i).alias(c) for i, c in enumerate(CLASHING)))
+    return df
+
+
+def components(nodes, links):
+    parent = {x: x for x in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in nodes}

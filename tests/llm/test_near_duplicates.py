@@ -1,0 +1,234 @@
+import random
+
+import numpy as np
+import pytest
+from tests.llm.fixtures import LOWER, WORD, components, edge_rows, prose, table
+
+from knnrec.llm import components as cc
+from knnrec.llm import embedding_lsh, jaccard_tree
+
+
+def shingles(text, size=5):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+
+
+def brute_jaccard(rows):
+    sets = {}
+    for doc_id, text, *_ in rows:
+        sets[doc_id] = shingles(text)
+    ids = [k for k in sets if sets[k]]
+    links = []
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                links.append((a, b))
+    return {k: len(s) for k, s in sets.items()}, components(sets, links), links
+
+
+def near_rows(n_groups=12, seed=5):
+    """Groups of copies with a few words changed, so that similarities lie on
+    both sides of 0.8; a passage that all share; short texts."""
+    rng = random.Random(seed)
+    passage = prose(rng, 25, 10**6)
+    rows, at = [], 1
+    for g in range(n_groups):
+        words = prose(rng, rng.choice([6, 30, 120, 500]), 10**6).split()
+        for _ in range(rng.choice([1, 2, 9, 30])):
+            copy = list(words)
+            for _ in range(rng.randrange(0, max(1, len(words) // 30) + 1)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+            text = " ".join(copy) + (" " + passage if g % 3 == 0 else "")
+            rows.append((at * 7 % 1009, text.upper() if rng.random() < 0.2 else text, "en", "s", 1))
+            at += 1
+    rows += [(2000 + k, t, "en", "s", 1) for k, t in enumerate(["a b", "A  b", "a", "b a", "a b c d", "a b c d e", "A B C D E", "\n", ""])]
+    return rows
+
+
+def check_join(spark, rows):
+    n, component, links = brute_jaccard(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_tree.join(table(spark, rows)).collect()}
+    assert got == {k: (n[k], component[k]) for k in n}
+    return links
+
+
+def test_join_equals_brute_force(spark):
+    assert len(check_join(spark, near_rows())) > 100
+
+
+def test_join_with_small_blocks_and_common_tokens(spark, monkeypatch):
+    """Blocks of three rows: large groups meet in grids; two sets make a
+    token common."""
+    monkeypatch.setattr(jaccard_tree, "BLOCK", 3)
+    monkeypatch.setattr(jaccard_tree, "COMMON", 2)
+    monkeypatch.setattr(jaccard_tree, "FIRST_GROUPS", 1)
+    monkeypatch.setattr(jaccard_tree, "TESTED_ROWS", 5)
+    check_join(spark, near_rows(seed=6))
+
+
+def test_trees_leave_all_similar_pairs():
+    rng = np.random.default_rng(1)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 1 << 62, rng.choice([3, 20, 100, 900]), dtype=np.uint64)
+        for _ in range(5):
+            own = base.copy()
+            change = rng.random(len(own)) < 0.1
+            own[change] = rng.integers(0, 1 << 62, change.sum(), dtype=np.uint64)
+            sets.append(np.unique(own))
+    sets.sort(key=len)
+    bits = []
+    for s in sets:
+        marks = np.zeros(max(64, 1 << (4 * len(s) - 1).bit_length()), dtype=bool)
+        marks[(s & np.uint64(len(marks) - 1)).astype(int)] = True
+        bits.append(np.packbits(marks))
+    most = jaccard_tree.possible(bits, np.array([len(s) for s in sets]), 80, 100)
+    pairs = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert most[i, j] == most[j, i] >= both
+                pairs += 1
+    assert pairs > 50 and (most > 0).sum() / 2 < 3 * pairs
+
+
+def test_prefixes_of_similar_sets_share_a_token():
+    """The larger one's prefix and the first part of the smaller one's, in
+    any order of the tokens."""
+    rng, none = np.random.default_rng(2), np.zeros(1 << 18, np.uint32)
+    for _ in range(2000):
+        pool = rng.integers(0, 1 << 62, 60, dtype=np.uint64)
+        a = np.unique(pool[: rng.integers(1, 50)])
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.95], pool[50 : 50 + rng.integers(0, 10)])))
+        both = len(np.intersect1d(a, b))
+        if not len(b) or 100 * both < 80 * (len(a) + len(b) - both):
+            continue
+        small, large = sorted((a, b), key=len)
+        p, first = jaccard_tree.prefix_tokens(small, none, 80, 100)
+        q, _ = jaccard_tree.prefix_tokens(large, none, 80, 100)
+        assert 1 <= first <= len(p) and len(np.intersect1d(p[:first], q))
+
+
+def test_partner_filter():
+    rows = [(1, 10, 201), (1, 11, 200), (2, 12, 20), (2, 13, 20), (3, 14, 21), (3, 15, 401), (4, 16, 21), (4, 16, 21), (5, 17, 17), (5, 18, 20)]
+    token, key, s = (np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))
+    kept = sorted(key[jaccard_tree.with_partner(token, key, s, key, 80, 100)].tolist())
+    assert kept == [10, 11, 17, 18]  # not: neither first, too far apart, alone
+
+
+def test_partner_filter_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = 60
+        token, key, comp = rng.integers(0, 5, n), rng.integers(0, 40, n), rng.integers(0, 4, n)
+        size = rng.integers(1, 30, 40)[key]
+        comp = comp[key % 4] if rng.random() < 0.5 else key
+        s = 2 * size + rng.integers(0, 2, 40)[key]
+        got = {(int(token[i]), int(key[i])) for i in jaccard_tree.with_partner(token, key, s, comp, 80, 100)}
+        want = set()
+        for i in range(n):
+            for j in range(n):
+                small, large = (i, j) if size[i] <= size[j] else (j, i)
+                if size[i] == size[j] and s[j] & 1:
+                    small = j
+                if token[i] == token[j] and comp[i] != comp[j] and 100 * size[small] >= 80 * size[large]:
+                    if s[small] & 1 or (size[i] == size[j] and s[i] & 1):
+                        want.add((int(token[i]), int(key[i])))
+        assert got == want
+
+
+def test_maximum_spanning_forest():
+    w = np.array([[0, 5, 4, 0], [5, 0, 3, 0], [4, 3, 0, 0], [0, 0, 0, 0]], float)
+    i, j = jaccard_tree.spanning_forest(w)
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 1), (0, 2)]
+
+
+def test_join_edge_cases(spark):
+    rows = edge_rows()
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_tree.join(table(spark, rows, clash=True)).collect()]
+    assert len(got) == len(rows)
+    by_id = {k: (n, c) for k, n, c in got}
+    assert by_id[1] == (0, 1) and by_id[2] == (0, 2) and by_id[3] == (0, 3) and by_id[4] == (1, 4)
+    assert by_id[8] == by_id[9] and by_id[9][1] == 8
+    assert by_id[6][1] == 6 and by_id[None][0] > 0
+    assert jaccard_tree.join(table(spark, [])).count() == 0
+
+
+def test_keep_one(spark):
+    rows = edge_rows()
+    kept = jaccard_tree.keep_one(table(spark, rows, clash=True))
+    assert kept.columns == table(spark, rows, clash=True).columns
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert ids.count(8) == 1 and 9 not in ids and ids.count(None) == 1 and {1, 2, 3} <= set(ids)
+    assert jaccard_tree.keep_one(table(spark, [])).count() == 0
+
+
+def test_components_of_chains_stars_and_nulls(spark):
+    rng = random.Random(2)
+    links = [(k, k + 1) for k in range(1000, 1100)] + [(5, k) for k in range(200, 300)] + [(7, 7), (300, 42)]
+    rng.shuffle(links)
+    df = spark.createDataFrame([*links, (None, 3)], "a long, b long")
+    got = {r["node"]: r["component"] for r in cc.components(df).collect()}
+    nodes = {x for link in links if link[0] != link[1] for x in link}
+    assert got == {k: v for k, v in components(nodes, [x for x in links if x[0] != x[1]]).items()}
+
+
+def vectors(seed=1, dim=32):
+    rng = np.random.default_rng(seed)
+    rows, at = [], 0
+    for _ in range(60):
+        centre = rng.normal(size=dim)
+        for _ in range(rng.choice([1, 2, 12])):
+            v = centre + rng.normal(size=dim) * rng.choice([0, 0.15, 0.25])
+            rows.append((at, (v * rng.choice([1, 40])).tolist(), int(rng.integers(0, 2))))
+            at += 1
+    return rows
+
+
+def brute_cosine(rows, least=0.93):
+    ids = np.array([r[0] for r in rows])
+    v = np.array([r[1] for r in rows])
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    label = np.array([r[2] for r in rows])
+    linked = (v @ v.T >= least) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    return linked.sum(axis=1), components(ids.tolist(), [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(linked), strict=True)])
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_embeddings_against_brute_force(spark, block):
+    rows = vectors()
+    n, component = brute_cosine(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in embedding_lsh.near_duplicates(df, block=block).collect()}
+    assert len(got) == len(rows) and n.sum() > 100
+    found = sum(r["n_links"] for r in got.values())
+    assert found >= 0.9 * n.sum()
+    for k, (vec_id, _, _) in enumerate(rows):
+        r = got[vec_id]
+        assert r["n_links"] <= n[k] and r["kept"] == (r["component_id"] == vec_id)
+        assert component[r["component_id"]] == component[vec_id] and r["component_id"] <= vec_id
+
+
+def test_many_tables_find_all(spark):
+    rows = vectors(seed=4)
+    n, component = brute_cosine(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in embedding_lsh.near_duplicates(df, tables=60, hashes=5).collect()}
+    assert [got[r[0]]["n_links"] for r in rows] == n.tolist()
+    assert {k: r["component_id"] for k, r in got.items()} == component
+
+
+def test_embedding_edge_cases(spark):
+    v, inf, nan = [1.0, 2.0, 3.0], float("inf"), float("nan")
+    rows = [
+        (1, v, 0), (2, [2.0, 4.0, 6.0], 0), (3, v, 1), (4, v, None), (5, None, 0), (6, [0.0, 0.0, 0.0], 0), (7, [1.0, None, 3.0], 0),
+        (8, [1.0, nan, 3.0], 0), (9, [1.0, inf, 3.0], 0), (10, [], 0), (11, [1.0, 2.0], 0), (12, v, 0), (12, v, 0), (None, v, 0), (13, [1e200, 2e200, 3e200], 0),
+    ]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, embedding array<double>, label int, rep int, table int, e int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_lsh.near_duplicates(df).collect()}
+    assert got[1] == (3, 1, True) and got[2] == (3, 1, False) and got[12] == (3, 1, False) and got[13] == (3, 1, False)
+    assert all(got[k] == (0, k, True) for k in (3, 4, 5, 6, 7, 8, 9, 10, 11)) and got[None][0] == 0
+    assert embedding_lsh.near_duplicates(df.limit(0)).count() == 0
