@@ -283,6 +283,9 @@ def _oracle_queries() -> dict[str, str]:
         "SELECT t.u AS row, p_brand AS col, sum(t.r * CAST(round(p_retailprice * 100) AS DOUBLE)) AS val "
         "FROM train t JOIN part ON t.i = p_partkey GROUP BY t.u, p_brand "
         "HAVING sum(t.r * CAST(round(p_retailprice * 100) AS DOUBLE)) <> 0")
+    q["matmul_hot_keys"] = with_(RATINGS) + (
+        "SELECT t.u AS row, CAST(b.p_size AS BIGINT) AS col, sum(t.r) AS val "
+        "FROM train t JOIN part a ON t.i = a.p_partkey JOIN part b ON a.p_brand = b.p_brand GROUP BY t.u, b.p_size")
     q["similarity_all_pairs"] = with_(*BASE, SIMS) + "SELECT u, v, sim FROM sims"
     q["similarity_for_users"] = with_(*BASE) + (
         "SELECT u, v, sim FROM (SELECT a.u AS u, b.u AS v, " + snap_sql("sum(a.w * b.w)") + " AS sim "

@@ -156,6 +156,18 @@ def q_sparse_matmul(spark, sf):
     return sparse_matmul(a, b)
 
 
+def q_matmul_hot_keys(spark, sf):
+    """A product over few, very frequent keys: rating sums by (user, brand)
+    times the number of parts by (brand, size). Every brand is rated by nearly
+    all users, so each key is split into cells."""
+    part = read_table(spark, sf, "part", "p_partkey", "p_brand", "p_size")
+    rated = _train(spark, sf).join(part, F.col("i") == F.col("p_partkey"))
+    a = rated.groupBy(F.col("u").alias("row"), F.col("p_brand").alias("k")).agg(F.sum("r").alias("val"))
+    b = part.groupBy(F.col("p_brand").alias("k"), F.col("p_size").cast("long").alias("col")).agg(
+        F.count(F.lit(1)).cast("double").alias("val"))
+    return sparse_matmul(a, b)
+
+
 def _unit(spark, sf):
     train, test = _split(spark, sf)
     stats, devs, unit, _, _ = base_frames(train, PERSIST, duplicates=None)
