@@ -1,19 +1,23 @@
 """Jaccard similarity join of word shingles with signature trees.
 
 Documents with equal shingle sets are one class. Two sets of similarity t
-share a token among their first n - ceil(t n) + 1 tokens in any common order,
-so classes meet in the groups of these prefix tokens. Tokens seen often come
-last in the order, which keeps common passages out of the prefixes.
+share k tokens among their first n - ceil(t n) + k tokens in any common order
+(the smaller one among still fewer), so classes meet in the groups of these
+prefix tokens, and a class that shares fewer tokens than that is out. Tokens
+seen often come last in the order, which keeps common passages out of the
+prefixes.
 
 A group's sets hang in signature trees: a node holds the OR of the token
 bitmaps below it, the range of sizes and the largest excess of tokens over
 bits. Two trees are walked together from the top, and a pair of nodes is left
-when no pair below can overlap enough. What is left is compared exactly.
+when no pair below can overlap enough. The pairs of sets that remain are
+compared exactly.
 
 The result needs components, not pairs, so links inside a known component are
-not looked for: a first round joins each class with others in a few of its
-groups (large groups in blocks that share two pivots: linear work), a second
-one compares, in every group, all classes of different components.
+not looked for: a first round compares a likeliest spanning forest in a few
+groups of each class (large groups in blocks that share two pivots: linear
+work); a second one compares, in every group, all that is left between
+different components.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from knnrec.llm.components import components
 #: in every task. Used only where a false hit changes cost, not results.
 FILTER_BITS = 23
 #: Counts from which a token goes to the end of the order.
-COMMON = 32
+COMMON = 8
 #: Rows of a cell side.
 BLOCK = 256
 #: Groups of each class in the first round.
@@ -105,14 +109,30 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "kind int, id long, n long, key long")
 
 
-def prefix_tokens(s: np.ndarray, common: np.ndarray, num: int, den: int) -> np.ndarray:
+def prefix_tokens(s: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """The prefix of a set, and how much of it counts towards sets of its own
+    size or larger. Two sets that share o tokens share k of those in the first
+    n - o + k of each; o is at least t times the larger size, and 2 t / (1 + t)
+    times the smaller one. So similar sets share k (of the smaller one's size)
+    tokens of the larger one's prefix and this first part of the smaller's."""
     n = len(s)
-    late = hits(common, s)
-    return np.concatenate((s[~late], s[late]))[: n - (num * n + den - 1) // den + 1]
+    late, k = hits(common, s), required(n)
+    prefix = np.concatenate((s[~late], s[late]))[: n - (num * n + den - 1) // den + k]
+    return prefix, n - (2 * num * n + num + den - 1) // (num + den) + k
+
+
+#: One token more to be shared for so many tokens of a set: with longer
+#: prefixes, documents that share a passage only are told from near copies.
+STRIDE = 32
+
+
+def required(n: int) -> int:
+    return 1 + n // STRIDE
 
 
 def postings(docs: DataFrame, size: int, common, num: int, den: int) -> DataFrame:
-    """(token, key, n) of each class's prefix, once per task."""
+    """(token, key, s) of each class's prefix, once per task; s is twice the
+    size, plus one in the first part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = common.value, set()
@@ -120,47 +140,98 @@ def postings(docs: DataFrame, size: int, common, num: int, den: int) -> DataFram
             for _, sets, keys in text_sets(batch.column(0), size):
                 fresh = [(s, k) for s, k in zip(sets, keys.tolist(), strict=True) if len(s) and not (k in seen or seen.add(k))]
                 if fresh:
-                    tokens = [prefix_tokens(s, bits, num, den) for s, _ in fresh]
+                    tokens, first = zip(*(prefix_tokens(s, bits, num, den) for s, _ in fresh), strict=True)
                     times = [len(t) for t in tokens]
+                    place = np.arange(sum(times)) - np.repeat(np.cumsum(times) - times, times)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(tokens).astype(np.int64)),
                             pa.array(np.repeat([k for _, k in fresh], times)),
-                            pa.array(np.repeat([len(s) for s, _ in fresh], times).astype(np.int32)),
+                            pa.array((np.repeat([2 * len(s) for s, _ in fresh], times) + (place < np.repeat(first, times))).astype(np.int32)),
                         ],
-                        names=["token", "key", "n"],
+                        names=["token", "key", "s"],
                     )
 
-    return docs.mapInArrow(run, "token long, key long, n int")
+    return docs.mapInArrow(run, "token long, key long, s int")
+
+
+def with_partner(token: np.ndarray, key: np.ndarray, s: np.ndarray, comp: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Rows (a class once a group) of whole groups that a class of another
+    component can be similar to: sizes within the ratio, the smaller one in
+    its first part."""
+    rows = np.lexsort((key, s >> 1, token))
+    rows = rows[np.concatenate(([True], (token[rows][1:] != token[rows][:-1]) | (key[rows][1:] != key[rows][:-1])))]
+    of_group = partners(token[rows], s[rows], num, den)
+    order = np.lexsort((s[rows] >> 1, comp[rows], token[rows]))
+    part = np.cumsum(np.concatenate(([0], (token[rows][order][1:] != token[rows][order][:-1]) | (comp[rows][order][1:] != comp[rows][order][:-1]))))
+    of_comp = np.empty_like(of_group)
+    of_comp[:, order] = partners(part, s[rows][order], num, den)
+    return rows[(of_group > of_comp).any(axis=0)]
+
 
+def partners(group: np.ndarray, s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For rows in order of group and size: how many rows of the group (itself
+    too) can be the smaller one of a similar pair with it, and the larger."""
+    n, first = s.astype(np.int64) >> 1, s & 1
+    group = np.cumsum(np.concatenate(([0], group[1:] != group[:-1]))) << 32
+    at = group + n
+    begin, end = np.searchsorted(at, at, "left"), np.searchsorted(at, at, "right")
+    least = np.searchsorted(at, group + (num * n + den - 1) // den, "left")
+    most = np.searchsorted(at, group + den * n // num, "right")
+    firsts = np.concatenate(([0], np.cumsum(first)))
+    return np.stack((firsts[end] - firsts[least], np.where(first > 0, most - begin, 0)))
 
-def shared_only(rows: DataFrame) -> DataFrame:
-    """Postings of tokens that two different classes have."""
+
+#: Rows of a group from which it is passed on whole, without that test.
+TESTED_ROWS = 2_000_000
+
+
+def shared_only(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Postings (token, key, s, comp) of classes with a possible partner of
+    another component in the token's group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_row, many = None, None, False  # the token that goes on
+        def tested(t: pa.Table) -> pa.RecordBatch:
+            columns = [t[c].to_numpy() for c in ("token", "key", "s", "comp")]
+            keep = with_partner(*columns, num, den)
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], names=["token", "key", "s", "comp"])
+
+        held: list[pa.RecordBatch] = []
+        n, whole = 0, None  # whole: the group that is being passed on
         for batch in batches:
-            if not batch.num_rows:
+            token = batch.column(0).to_numpy()
+            if whole is not None and len(token):
+                same = int(np.searchsorted(token != whole, True))
+                if same:
+                    yield batch.slice(0, same)
+                batch, token = batch.slice(same), token[same:]
+                if len(token):
+                    whole = None
+            if not len(token):
+                continue
+            held.append(batch)
+            n += len(token)
+            if n < 200_000:
                 continue
-            token, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-            lowest, highest = np.minimum.reduceat(key, cuts), np.maximum.reduceat(key, cuts)
-            shared = lowest != highest
-            if last == token[0]:
-                if many or last_row.column(1)[0].as_py() != key[0]:
-                    shared[0] = True
-                if shared[0] and not many:
-                    yield last_row
-            take = np.repeat(shared, np.diff(np.append(cuts, len(token))))
-            if take.any():
-                yield batch.filter(pa.array(take))
-            last, last_row, many = token[-1], batch.slice(len(token) - 1, 1), bool(shared[-1])
-
-    return rows.repartition("token").sortWithinPartitions("token", "key").mapInArrow(run, "token long, key long, n int")
+            t = pa.Table.from_batches(held).combine_chunks()
+            token = t["token"].to_numpy()
+            cut = int(np.searchsorted(token == token[-1], True)) if token[0] != token[-1] else 0
+            if cut:
+                yield tested(t.slice(0, cut))
+            held, n = t.slice(cut).to_batches(), len(token) - cut
+            if n >= TESTED_ROWS:
+                yield from held
+                held, n, whole = [], 0, token[-1]
+        if n:
+            yield tested(pa.Table.from_batches(held).combine_chunks())
+
+    ordered = rows.repartition("token").sortWithinPartitions("token").select("token", "key", "s", "comp")
+    return ordered.mapInArrow(run, "token long, key long, s int, comp long")
 
 
 def class_sets(docs: DataFrame, size: int, wanted) -> DataFrame:
-    """(key, tokens as bytes) of the classes that ``wanted`` may hold."""
+    """(key, tokens as bytes) of the classes that ``wanted`` may hold, once
+    per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
@@ -176,14 +247,29 @@ def class_sets(docs: DataFrame, size: int, wanted) -> DataFrame:
     return docs.mapInArrow(run, "key long, tokens binary")
 
 
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """(key, n, bits): 4 to 8 bits a token, a power of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, bits = [], []
+            for value in batch.column(1):
+                tokens = np.frombuffer(value.as_buffer(), np.uint64)
+                marks = np.zeros(max(64, 1 << (4 * len(tokens) - 1).bit_length()), dtype=bool)
+                marks[(tokens & np.uint64(len(marks) - 1)).astype(np.int64)] = True
+                n.append(len(tokens))
+                bits.append(np.packbits(marks).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], names=["key", "n", "bits"])
+
+    return sets.mapInArrow(run, "key long, n long, bits binary").dropDuplicates(["key"])
+
+
 class SignatureTree:
-    """Levels of nodes over sets in ascending size; level 0 has the sets."""
+    """Levels of nodes over bitmaps of one width, sizes ascending; level 0 has
+    the sets themselves. A node: bits, smallest and largest size, excess."""
 
-    def __init__(self, sets: list[np.ndarray], width: int):
-        n = np.array([len(s) for s in sets])
-        marks = np.zeros((len(sets), width), dtype=bool)
-        marks[np.repeat(np.arange(len(sets)), n), (np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64)] = True
-        bits = np.packbits(marks, axis=1).view(np.uint64)
+    def __init__(self, bits: np.ndarray, n: np.ndarray):
+        bits = np.ascontiguousarray(bits).view(np.uint64)
         excess = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [(bits, n, n, excess)]
         while len(self.levels[-1][1]) > FANOUT:
@@ -195,26 +281,28 @@ class SignatureTree:
             ))
 
 
-def may_link(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sets below nodes i of level ``a`` and j of ``b`` can be similar:
-    sizes within the ratio, and room for the overlap: shared bits plus the
-    smaller excess (tokens of a set beyond one a bit)."""
+def may_link(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of nodes i of level ``a`` and j of ``b`` can have similar
+    sets below, and the most that such can share: sizes within the ratio, and
+    room for the overlap in the shared bits plus the smaller excess (tokens of
+    a set beyond one a bit)."""
     (bits_a, low_a, high_a, over_a), (bits_b, low_b, high_b, over_b) = a, b
-    ok = (den * high_a[i] >= num * low_b[j]) & (den * high_b[j] >= num * low_a[i])
+    ok = np.flatnonzero((den * high_a[i] >= num * low_b[j]) & (den * high_b[j] >= num * low_a[i]))
     i, j = i[ok], j[ok]
     most = np.empty(len(i), dtype=np.int64)
-    step = max(1, (1 << 22) // bits_a.shape[1])
+    step = max(1, (1 << 20) // bits_a.shape[1])
     for at in range(0, len(i), step):
         x, y = i[at : at + step], j[at : at + step]
         most[at : at + step] = np.bitwise_count(bits_a[x] & bits_b[y]).sum(axis=1, dtype=np.int64)
     most += np.minimum(over_a[i], over_b[j])
     most = np.minimum(most, np.minimum(high_a[i], high_b[j]))
-    ok[ok] = (num + den) * most >= num * (low_a[i] + low_b[j])
-    return ok
+    room = (num + den) * most >= num * (low_a[i] + low_b[j])
+    return ok[room], most[room]
 
 
-def walk(a: SignatureTree, b: SignatureTree, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of sets that no node pair above rules out."""
+def walk(a: SignatureTree, b: SignatureTree, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of sets that no node pair above rules out, and the most that
+    each can share."""
     la, lb = len(a.levels) - 1, len(b.levels) - 1
     i, j = (x.ravel() for x in np.meshgrid(np.arange(len(a.levels[la][1])), np.arange(len(b.levels[lb][1]))))
 
@@ -224,10 +312,10 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int) -> tuple[np.nda
         return child[inside], np.repeat(other, FANOUT)[inside]
 
     while True:
-        ok = may_link(a.levels[la], b.levels[lb], i, j, num, den)
+        ok, most = may_link(a.levels[la], b.levels[lb], i, j, num, den)
         i, j = i[ok], j[ok]
         if not la and not lb:
-            return i, j
+            return i, j, most
         down_a, down_b = la >= lb, lb >= la
         if down_a:
             la -= 1
@@ -237,73 +325,118 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int) -> tuple[np.nda
             j, i = below(j, i, len(b.levels[lb][1]))
 
 
-def possible(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Matrix of the pairs (of sets in ascending size) that trees leave. One
-    tree per bitmap width (2 to 4 bits a token); neighbouring widths are
-    compared at the smaller one. Similar sets are never two widths apart."""
-    out = np.zeros((len(sets), len(sets)), dtype=bool)
-    widths = np.array([max(64, 1 << (2 * len(s) - 1).bit_length()) for s in sets])
-    starts = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
-    for w, own in starts.items():
-        tree = SignatureTree([sets[k] for k in own], w)
-        i, j = walk(tree, tree, num, den)
-        out[own[i], own[j]] = True
-        if 2 * w in starts:
-            wide = starts[2 * w]
-            i, j = walk(tree, SignatureTree([sets[k] for k in wide], w), num, den)
-            out[own[i], wide[j]] = out[wide[j], own[i]] = True
-    np.fill_diagonal(out, False)
+def possible(bits: list[np.ndarray], n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For every pair of sets (ascending in size) the most that they can
+    share, 0 if trees rule the pair out. There is one tree for each bitmap
+    width; neighbouring widths are compared at the smaller one, and similar
+    sets are never two widths apart."""
+    out = np.zeros((len(n), len(n)), dtype=np.int64)
+    widths = np.array([len(b) for b in bits])
+    trees = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
+    for w, own in trees.items():
+        tree = SignatureTree(np.stack([bits[k] for k in own]), n[own])
+        i, j, most = walk(tree, tree, num, den)
+        out[own[i], own[j]] = most
+        if 2 * w in trees:
+            wide = trees[2 * w]
+            folded = np.stack([bits[k][:w] | bits[k][w:] for k in wide])
+            i, j, most = walk(tree, SignatureTree(folded, n[wide]), num, den)
+            out[own[i], wide[j]] = out[wide[j], own[i]] = most
+    np.fill_diagonal(out, 0)
     return out
 
 
-def spanning_links(sets: list[np.ndarray], candidates: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Exact links that connect whatever the true links among ``candidates``
-    connect: every set reached is compared with all that are not yet."""
-    links, todo = [], np.ones(len(sets), dtype=bool)
-    sizes = np.array([len(s) for s in sets])
-    for root in np.argsort(-candidates.sum(axis=1), kind="stable"):
-        frontier = [int(root)] if todo[root] else []
-        todo[root] = False
-        while frontier:
-            at = frontier.pop(0)
-            near = np.flatnonzero(candidates[at] & todo)
-            if not len(near):
-                continue
-            pool = np.concatenate([sets[k] for k in near])
-            place = np.minimum(np.searchsorted(sets[at], pool), sizes[at] - 1)
-            both = np.add.reduceat(sets[at][place] == pool, np.concatenate(([0], np.cumsum(sizes[near])[:-1])), dtype=np.int64)
-            near = near[den * both >= num * (sizes[at] + sizes[near] - both)]
-            todo[near] = False
-            frontier += near.tolist()
-            links += [(at, int(k)) for k in near]
-    return links
-
-
-def cell_links(cells: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): links of classes that meet in a cell, spanning what it links.
-    Columns: token, x, y (the cell), key, comp, side, tokens. Sides -1 (pivots)
-    and equal sides compare with each other in a cell x = y, different sides
-    in a cell x < y; equal components are never compared."""
+def spanning_forest(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a maximum spanning forest over the positive weights."""
+    n = len(weight)
+    best, source = np.zeros(n), np.full(n, -1)
+    todo, edges = np.ones(n, dtype=bool), []
+    for _ in range(n):
+        at = int(np.argmax(np.where(todo, best, -1)))
+        if best[at] > 0:
+            edges.append((int(source[at]), at))
+        todo[at] = False
+        closer = weight[at] > best
+        best[closer], source[closer] = weight[at][closer], at
+    i, j = zip(*edges, strict=True) if edges else ((), ())
+    return np.array(i, np.int64), np.array(j, np.int64)
+
+
+def candidate_pairs(cells: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+    """(a, b) of classes that meet in a cell and may be similar: all pairs, or
+    the likeliest spanning forest of them. Columns: token, x, y (the cell),
+    key, comp, side, first, n, bits. In a cell x = y all sets are compared, in
+    one x < y those of different sides; equal components never."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(batches, ["token", "x", "y"]):
-            key, comp, side = (t[c].to_numpy() for c in ("key", "comp", "side"))
-            _, once = np.unique(key, return_index=True)  # a class comes once from each task
-            sets = {int(k): np.frombuffer(t["tokens"][int(k)].as_buffer(), np.uint64) for k in once}
-            order = sorted(sets, key=lambda k: (len(sets[k]), key[k]))
-            sets, key, comp, side = [sets[k] for k in order], key[order], comp[order], side[order]
+            n = t["n"].to_numpy()
+            order = np.argsort(n, kind="stable")
+            n, key, comp, side, first = n[order], *(t[c].to_numpy()[order] for c in ("key", "comp", "side", "first"))
             apart = comp[:, None] != comp[None, :]
             if t["x"][0].as_py() != t["y"][0].as_py():
                 apart &= side[:, None] != side[None, :]
-            if len(sets) < 2 or not apart.any():
+            # the smaller of two sets (either, if equal) has the token in its first part
+            of_smaller = np.where(n[:, None] < n[None, :], first[:, None], first[None, :])
+            apart &= np.where(n[:, None] == n[None, :], first[:, None] | first[None, :], of_smaller) > 0
+            if not apart.any():
                 continue
-            links = spanning_links(sets, possible(sets, num, den) & apart, num, den)
-            if links:
-                a, b = (key[list(x)] for x in zip(*links, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            bits = [np.frombuffer(t["bits"][int(k)].as_buffer(), np.uint8) for k in order]
+            most = np.where(apart, possible(bits, n, num, den), 0)
+            if forest:
+                i, j = spanning_forest(most / (n[:, None] + n[None, :]))
+            else:
+                i, j = np.nonzero(np.triu(most))
+            if len(i):
+                a, b = key[i], key[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     ordered = cells.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-    return ordered.select("token", "x", "y", "key", "comp", "side", "tokens").mapInArrow(run, "a long, b long")
+    return ordered.select("token", "x", "y", "key", "comp", "side", "first", "n", "bits").mapInArrow(run, "a long, b long").distinct()
+
+
+def exact_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                keep.append(den * both >= num * (len(x) + len(y) - both))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    needed = sets.join(keys, "key", "left_semi").dropDuplicates(["key"])
+    one = needed.toDF("a", "x")
+    other = needed.toDF("b", "y")
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def often_enough(post: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows of classes that share as many tokens as the smallest set similar
+    to them must."""
+    n = F.floor(F.col("s") / 2)
+    least = F.lit(1) + F.floor(F.ceil(n * num / den) / STRIDE)
+    enough = post.groupBy("key").agg(F.count_distinct("token").alias("shared"), F.max("s").alias("s")).where(F.col("shared") >= least)
+    return post.join(enough.select("key"), "key", "left_semi")
+
+
+def distinct_groups(post: DataFrame) -> DataFrame:
+    """(token, key, s): groups of exactly the same classes become one (the
+    tokens that near copies share number hundreds). A class is in its first
+    part there if it is so for any of the tokens. A group is told by its size
+    and the sum of the hashes of its keys; the hash of both stands for the
+    token."""
+    post = post.groupBy("token", "key").agg(F.max("s").alias("s"))
+    members = post.groupBy("token").agg(
+        F.sum(F.xxhash64("key", F.lit(3)).cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("m")
+    )
+    group = members.select("token", F.xxhash64("sum", "m").alias("group"))
+    same = post.join(group, "token").groupBy("group", "key").agg(F.max("s").alias("s"))
+    return same.withColumnRenamed("group", "token")
 
 
 def first_cells(post: DataFrame) -> DataFrame:
@@ -315,30 +448,35 @@ def first_cells(post: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("key", F.lit(5)), F.col("blocks"))
     pivot = (F.col("key") == F.col("lo")) | (F.col("key") == F.col("hi"))
     own = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(block))
-    rows = rows.select("token", "key", F.explode(own).alias("x"))
-    return rows.select("token", "key", "x", F.col("x").alias("y"), F.lit(0).cast("long").alias("side"), F.col("key").alias("comp"))
+    rows = rows.select("token", "key", (F.col("s") % 2).alias("first"), F.explode(own).alias("x"))
+    return rows.withColumns({"y": F.col("x"), "side": F.lit(0).cast("long"), "comp": F.col("key")})
 
 
 def all_cells(post: DataFrame) -> DataFrame:
-    """Every group with classes of several components (``comp``): its largest
-    component meets the rest, and the rest meet each other, block by block."""
+    """Every group with classes of several components (``comp``). A group of
+    more than BLOCK rows is dealt to cells: its largest component meets the
+    rest, and the rest meet each other, block by block."""
     of_comp = post.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
     size = of_comp.groupBy("token").agg(
         F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("comps")
     )
+    major = F.when(F.col("all") > BLOCK, F.col("top.m")).otherwise(0)
     size = size.where("comps > 1").select(
-        "token", F.col("top.comp").alias("major"),
-        F.ceil(F.col("top.m") / F.lit(BLOCK)).cast("long").alias("majors"),
-        F.ceil((F.col("all") - F.col("top.m")) / F.lit(BLOCK)).cast("long").alias("minors"),
+        "token", F.when(F.col("all") > BLOCK, F.col("top.comp")).alias("major"),
+        F.ceil(major / F.lit(BLOCK)).cast("long").alias("majors"),
+        F.ceil((F.col("all") - major) / F.lit(BLOCK)).cast("long").alias("minors"),
     )
-    rows = post.join(size, "token").withColumn("is_major", F.col("comp") == F.col("major"))
+    rows = post.join(size, "token").withColumn("is_major", F.col("comp").eqNullSafe(F.col("major")))
     deal = F.xxhash64("key", F.lit(5))
     rows = rows.withColumn(
         "side", F.when(F.col("is_major"), F.col("minors") + F.pmod(deal, F.col("majors"))).otherwise(F.pmod(deal, F.col("minors")))
     )
     last = F.when(F.col("is_major"), F.col("minors")).otherwise(F.col("minors") + F.col("majors")) - 1
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return rows.select("token", "key", "comp", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
+    return rows.select(
+        "token", "key", "comp", (F.col("s") % 2).alias("first"), "side",
+        F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
+    )
 
 
 def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -362,16 +500,21 @@ def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataF
     often = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON).select("key")
     common = spark.sparkContext.broadcast(bit_filter(often))
     texts = source.where("text IS NOT NULL").select("text")
-    post = stage(shared_only(postings(texts, size, common, num, den)), "jac-postings")
-    keys = post.select("key").distinct()
-    wanted = spark.sparkContext.broadcast(bit_filter(keys))
-    sets = stage(class_sets(texts, size, wanted).join(keys, "key", "left_semi").dropDuplicates(["key"]), "jac-sets")
-    post = post.select("token", "key").distinct()
-    links = stage(cell_links(first_cells(post).join(sets, "key"), num, den), "jac-links")
-    known = components(links)
-    label = known.select(F.col("node").alias("key"), "component")
+    found = postings(texts, size, common, num, den).withColumn("comp", F.col("key"))
+    post = stage(shared_only(found, num, den), "jac-postings")
+    post = stage(shared_only(often_enough(post, num, den), num, den), "jac-enough").drop("comp")
+    wanted = spark.sparkContext.broadcast(bit_filter(post.select("key").distinct()))
+    sets = stage(class_sets(texts, size, wanted), "jac-sets")
+    bits = stage(bitmaps(sets), "jac-bits")
+    post = stage(distinct_groups(post), "jac-groups")
+    pairs = stage(candidate_pairs(first_cells(post).join(bits, "key"), num, den, forest=True), "jac-forest")
+    links = stage(exact_links(pairs, sets, num, den), "jac-links")
+    label = components(links).select(F.col("node").alias("key"), "component")
     post = post.join(label, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
-    more = stage(cell_links(all_cells(stage(post, "jac-labelled")).join(sets, "key"), num, den), "jac-more")
+    post = stage(shared_only(post, num, den), "jac-labelled")
+    cells = all_cells(post).join(bits, "key")
+    pairs = stage(candidate_pairs(cells, num, den, forest=False), "jac-pairs")
+    more = stage(exact_links(pairs, sets, num, den), "jac-more")
     final = components(links.union(more)).select(F.col("node").alias("key"), "component")
     of_class = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
     of_class = of_class.join(final, "key", "left").withColumn("component", F.coalesce("component", "key"))

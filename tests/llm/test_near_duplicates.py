@@ -99,16 +99,17 @@ def test_prefixes_of_similar_sets_share_a_token():
     any order of the tokens."""
     rng, none = np.random.default_rng(2), np.zeros(1 << 18, np.uint32)
     for _ in range(2000):
-        pool = rng.integers(0, 1 << 62, 60, dtype=np.uint64)
-        a = np.unique(pool[: rng.integers(1, 50)])
-        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.95], pool[50 : 50 + rng.integers(0, 10)])))
+        size = rng.choice([10, 50, 400])
+        pool = rng.integers(0, 1 << 62, size + size // 5, dtype=np.uint64)
+        a = np.unique(pool[: rng.integers(1, size)])
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.95], pool[size : size + rng.integers(0, size // 5)])))
         both = len(np.intersect1d(a, b))
         if not len(b) or 100 * both < 80 * (len(a) + len(b) - both):
             continue
         small, large = sorted((a, b), key=len)
         p, first = jaccard_tree.prefix_tokens(small, none, 80, 100)
         q, _ = jaccard_tree.prefix_tokens(large, none, 80, 100)
-        assert 1 <= first <= len(p) and len(np.intersect1d(p[:first], q))
+        assert 1 <= first <= len(p) and len(np.intersect1d(p[:first], q)) >= min(jaccard_tree.required(len(small)), both)
 
 
 def test_partner_filter():
