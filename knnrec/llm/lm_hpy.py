@@ -90,6 +90,7 @@ def read_chunks(docs: DataFrame) -> DataFrame:
             lengths = np.concatenate([np.diff(p[2]) for p in parts])
             ids = pa.concat_arrays([p[3] for p in parts])
             held = np.concatenate([p[4] for p in parts])
+            parts.clear()
             word, place, times = np.unique(token, return_inverse=True, return_counts=True)
             order = np.argsort(-times, kind="stable")  # small codes for common words
             rank = np.empty_like(order)
@@ -122,11 +123,12 @@ def read_chunks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi, buf, offs in passes(batch.column(1)):
-                parts.append((*tokens(buf, offs), batch.column(0)[lo:hi], held[lo:hi]))
+                token, context, at = tokens(buf, offs)
+                parts.append((token, context.astype(np.uint8), at, batch.column(0)[lo:hi], held[lo:hi]))
                 size += len(buf)
                 if size >= CHUNK_BYTES:
                     yield from flush()
-                    parts, size, number = [], 0, number + 1
+                    size, number = 0, number + 1
         if parts:
             yield from flush()
 
