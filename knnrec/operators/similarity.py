@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knnrec.functions.columns import SIM_DIGITS, snap
+from knnrec.session import materialize
 
 # Rows of one side of a cell: a key with more rows on a side is split into
 # ceil(rows / CELL_ROWS) blocks per side, so no cell holds more than about
 # CELL_ROWS^2 = 4 million products, whatever the number of such keys.
 CELL_ROWS = 2_000
+# A list of hot keys of up to this many rows (a few MB) is broadcast.
+BROADCAST_KEYS = 100_000
 
 
 def hot_key_blocks(frames: Sequence[DataFrame], keys: Sequence[str], block_rows: int = CELL_ROWS) -> DataFrame:
@@ -46,12 +49,21 @@ def blocked_join(
     row to block row ``hash(left_id) % nb`` of every block column and each
     right row to block column ``hash(right_id) % nb`` of every block row,
     so each (left, right) pair still meets exactly once, in one of
-    ``nb * nb`` cells. Cold keys keep a single block: no replication. The
-    list of hot keys is an ordinary join: adaptive execution broadcasts it
-    when it is measured small and splits skew otherwise.
-    ``self_join``: both sides have the same key counts (count once)."""
+    ``nb * nb`` cells. Cold keys keep a single block: no replication.
+
+    The hot keys are counted when the plan is made: without any, this is a
+    plain join; a list within ``BROADCAST_KEYS`` is broadcast, a longer one
+    joined like any table. ``self_join``: both sides have the same key counts
+    (count once)."""
     frames = [left] if self_join else [left, right]
-    hot = hot_key_blocks(frames, keys, block_rows)
+    hot = materialize(hot_key_blocks(frames, keys, block_rows))
+    n_hot = hot.count()
+    if n_hot <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    if not n_hot:
+        other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+        same = [F.col(k) == F.col(f"_r_{k}") for k in keys] + ([condition()] if condition is not None else [])
+        return left.join(other, reduce(lambda a, b: a & b, same)).drop(*[f"_r_{k}" for k in keys])
 
     def tagged(df: DataFrame) -> DataFrame:
         out = df.join(hot, list(keys), "left")

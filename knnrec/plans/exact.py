@@ -79,8 +79,8 @@ def fit_exact(
     rounded to ``sim_digits`` decimals; those that round to 0 are not
     stored."""
     stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi, duplicates)
-    half = similarity_half(unit, digits=sim_digits, **blocking)
+    half = materialize(similarity_half(unit, digits=sim_digits, **blocking), persist)
     n = F.lit(n_users) if n_users is not None else n_train_users
     neighbors = materialize(slot_topk(mirror(half), k, n), persist)
     return KnnModel(stats, devs, neighbors, global_avg, n, k, (),
-                    [stats, devs, unit, neighbors])
+                    [stats, devs, unit, half, neighbors])
