@@ -16,7 +16,8 @@ def folder(spark, tmp_path_factory):
     """A table with clean, symbol-ridden, near-equal and repeated texts."""
     rng, path = random.Random(8), str(tmp_path_factory.mktemp("sf"))
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(250).collect()
-    rows = [tuple(r) for r in docs] + [(5000 + k, *tuple(r)[1:]) for k, r in enumerate(docs[:30])] + edge_rows()
+    rows = [tuple(r) for r in docs] + [(5000 + k, *tuple(r)[1:]) for k, r in enumerate(docs[:30])]
+    rows += [(None if r[0] is None else 9000 + r[0], *r[1:]) for r in edge_rows()]
     rows += [(6000 + k, prose(rng, 200) + f" end{k}", "en", "src0", 900) for k in range(5)]
     table(spark, rows).write.parquet(f"{path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{path}/labels.parquet")
