@@ -42,6 +42,9 @@ BLOCK = 256
 #: Groups of each class in the first round.
 FIRST_GROUPS = 3
 FANOUT = 8
+#: Ids of dropped documents that are broadcast, at most (8 MB of numbers);
+#: more are joined with a shuffle of the documents.
+BROADCAST_IDS = 1_000_000
 
 
 def text_sets(array: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
@@ -186,15 +189,27 @@ def partners(group: np.ndarray, s: np.ndarray, num: int, den: int) -> np.ndarray
 TESTED_ROWS = 2_000_000
 
 
-def shared_only(rows: DataFrame, num: int, den: int) -> DataFrame:
+def group_ids(token: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """For rows in order of token: a hash of the keys of the row's group, equal
+    for groups of the same classes."""
+    cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    sizes = np.diff(np.append(cuts, len(token)))
+    sums = np.add.reduceat(mix64(key.view(np.uint64)), cuts)
+    return np.repeat(mix64(sums + mix64(sizes.astype(np.uint64))), sizes).astype(np.int64)
+
+
+def shared_only(rows: DataFrame, num: int, den: int, merge: bool = False) -> DataFrame:
     """Postings (token, key, s, comp) of classes with a possible partner of
-    another component in the token's group."""
+    another component in the token's group. ``merge``: the token becomes the
+    group's id, so that groups of the same classes can be made one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def tested(t: pa.Table) -> pa.RecordBatch:
             columns = [t[c].to_numpy() for c in ("token", "key", "s", "comp")]
-            keep = with_partner(*columns, num, den)
-            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], names=["token", "key", "s", "comp"])
+            columns = [x[rows] for rows in [with_partner(*columns, num, den)] for x in columns]
+            if merge and len(columns[0]):
+                columns[0] = group_ids(columns[0], columns[1])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["token", "key", "s", "comp"])
 
         held: list[pa.RecordBatch] = []
         n, whole = 0, None  # whole: the group that is being passed on
@@ -420,23 +435,15 @@ def often_enough(post: DataFrame, num: int, den: int) -> DataFrame:
     to them must."""
     n = F.floor(F.col("s") / 2)
     least = F.lit(1) + F.floor(F.ceil(n * num / den) / STRIDE)
-    enough = post.groupBy("key").agg(F.count_distinct("token").alias("shared"), F.max("s").alias("s")).where(F.col("shared") >= least)
+    enough = post.groupBy("key").agg(F.count(F.lit(1)).alias("shared"), F.max("s").alias("s")).where(F.col("shared") >= least)
     return post.join(enough.select("key"), "key", "left_semi")
 
 
-def distinct_groups(post: DataFrame) -> DataFrame:
+def distinct_groups(post: DataFrame, num: int, den: int) -> DataFrame:
     """(token, key, s): groups of exactly the same classes become one (the
     tokens that near copies share number hundreds). A class is in its first
-    part there if it is so for any of the tokens. A group is told by its size
-    and the sum of the hashes of its keys; the hash of both stands for the
-    token."""
-    post = post.groupBy("token", "key").agg(F.max("s").alias("s"))
-    members = post.groupBy("token").agg(
-        F.sum(F.xxhash64("key", F.lit(3)).cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("m")
-    )
-    group = members.select("token", F.xxhash64("sum", "m").alias("group"))
-    same = post.join(group, "token").groupBy("group", "key").agg(F.max("s").alias("s"))
-    return same.withColumnRenamed("group", "token")
+    part there if it is so for any of the tokens."""
+    return shared_only(post, num, den, merge=True).groupBy("token", "key").agg(F.max("s").alias("s"))
 
 
 def first_cells(post: DataFrame) -> DataFrame:
@@ -502,11 +509,10 @@ def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataF
     texts = source.where("text IS NOT NULL").select("text")
     found = postings(texts, size, common, num, den).withColumn("comp", F.col("key"))
     post = stage(shared_only(found, num, den), "jac-postings")
-    post = stage(shared_only(often_enough(post, num, den), num, den), "jac-enough").drop("comp")
+    post = stage(distinct_groups(often_enough(post, num, den), num, den), "jac-groups")
     wanted = spark.sparkContext.broadcast(bit_filter(post.select("key").distinct()))
     sets = stage(class_sets(texts, size, wanted), "jac-sets")
     bits = stage(bitmaps(sets), "jac-bits")
-    post = stage(distinct_groups(post), "jac-groups")
     pairs = stage(candidate_pairs(first_cells(post).join(bits, "key"), num, den, forest=True), "jac-forest")
     links = stage(exact_links(pairs, sets, num, den), "jac-links")
     label = components(links).select(F.col("node").alias("key"), "component")
@@ -532,6 +538,8 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     documents without words stay."""
     found = stage(join(docs, size, num, den), "jac-joined")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    if gone.count() <= BROADCAST_IDS:  # texts are not shuffled
+        gone = F.broadcast(gone)
     kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
     twice = found.where("doc_id = component_id AND n_shingles > 0").groupBy(F.col("doc_id").alias("twice_id")).count().where("count > 1").select("twice_id")
     if twice.isEmpty():
