@@ -76,10 +76,11 @@ def collect_sample(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def fit_link(
     category: str, row: np.ndarray, bucket: np.ndarray, rest: np.ndarray, y: np.ndarray, weight: np.ndarray,
-    rounds: int = 150, l1: float = 2e-3,
+    penalties: tuple = ((5e-4, 150), (2e-5, 100)),
 ) -> Link:
     """Accelerated proximal gradient on the weighted logistic loss, with an L1
-    penalty on the words (telling ones stay, the rest is exactly zero)."""
+    penalty on the words, in (penalty, rounds) passes: the first leaves the
+    telling words only, the second fits those almost without shrinking them."""
     n = len(y)
     if not n or len(np.unique(y)) < 2:
         out = np.zeros(rest.shape[1] + 1)
@@ -90,6 +91,15 @@ def fit_link(
     seen = np.bincount(bucket, minlength=WIDTH)
     use = (seen >= 5)[bucket]  # too rare to be learned from
     row, bucket = row[use], bucket[use]
+    for l1, rounds in penalties:
+        w, v = descend(row, bucket, x, y, weight, l1, rounds)
+        use = (w != 0)[bucket]
+        row, bucket = row[use], bucket[use]
+    return Link(category, w, v)
+
+
+def descend(row, bucket, x, y, weight, l1: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    n = len(y)
     # steps scaled by the curvature of each coordinate
     spread = 1.0 / (0.25 * np.bincount(bucket, weights=weight[row], minlength=WIDTH) * 12 + 1e-3)
     spread_x = 1.0 / (0.25 * (weight[:, None] * x * x).sum(axis=0) * 12 + 1e-3)
@@ -104,7 +114,7 @@ def fit_link(
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         w_at, v_at = w_new + (t - 1) / t_new * (w_new - w), v_new + (t - 1) / t_new * (v_new - v)
         w, v, t = w_new, v_new, t_new
-    return Link(category, w, v)
+    return w, v
 
 
 def fit_chain(row, bucket, stats, targets: dict[str, np.ndarray], weight: np.ndarray, folds: int = 3) -> list[Link]:

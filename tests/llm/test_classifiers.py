@@ -64,7 +64,8 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
 def test_toxicity_on_held_out_rows(spark):
     got = queries.op7_toxicity(spark, SF).join(both(spark, "labels").withColumnRenamed("toxic", "is_toxic"), "doc_id").collect()
     right = [r["toxic"] == bool(r["is_toxic"]) for r in got if r["held_out"]]
-    assert np.mean(right) > 0.9
+    assert np.mean(right) > 0.93
+    assert np.mean([r["toxic"] for r in got if r["is_toxic"]]) > 0.85
     clean = [r["toxic"] for r in got if not r["is_toxic"]]
     assert np.mean(clean) < 0.05
 
