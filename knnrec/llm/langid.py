@@ -1,8 +1,9 @@
 """Language identification by compression.
 
 One zstandard raw-content dictionary per language is made from a bounded
-sample of its training texts. A text is compressed with every dictionary; the
-language with the smallest output wins, and a narrow lead is marked rejected.
+sample of its training texts. Every piece of a text is compressed afresh with
+every dictionary; the language with the smallest sum of outputs wins, and a
+narrow lead is marked rejected.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from knnrec.llm.common import fold, prepare, repeat_rows
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
+#: Most bytes compressed at once. A compressor learns the text itself, so over a
+#: long one the dictionaries would all count for nothing.
+PIECE_BYTES = 16 << 10
 
 
 def normalise(text: str) -> bytes:
@@ -26,6 +30,13 @@ def normalise(text: str) -> bytes:
     return _NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
+def pieces(data: bytes) -> list[bytes]:
+    """The whole of ``data`` in the fewest pieces within PIECE_BYTES, of equal
+    size but for rounding."""
+    n = max(-(-len(data) // PIECE_BYTES), 1)
+    return [data[len(data) * i // n : len(data) * (i + 1) // n] for i in range(n)]
+
+
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -60,7 +71,8 @@ def identify(
     name); ``und`` if the text is null or has no letter, or nothing was
     learned. score: share of 2^-(bytes above the smallest) over all languages
     that the winner holds, 0 for und. margin: lead over the second, relative
-    to the smallest output without the constant frame overhead; 1 with one language. rejected: und, or margin
+    to the smallest output without the constant frame overhead; 1 with one language. Outputs are sums over
+    the pieces of the text, so neither lead nor score fades with its length. rejected: und, or margin
     below the parameter. Rows are independent of each other, so repeated rows,
     empty tables and long texts need nothing special. Other columns are
     ignored.
@@ -106,8 +118,8 @@ def classifier(dictionaries: dict[str, bytes], level: int) -> Callable[[pa.Array
             if not langs or text is None or not has_letter(text):
                 pred.append(UNDETERMINED), score.append(0.0), lead.append(0.0)
                 continue
-            data = normalise(text)
-            sizes = np.array([len(t.compress(data)) - empty for t, empty in tools()])
+            parts = pieces(normalise(text))
+            sizes = np.array([sum(len(t.compress(part)) - empty for part in parts) for t, empty in tools()])
             best = int(sizes.argmin())
             rest = np.delete(sizes, best)
             above = np.exp2(-np.minimum(sizes - sizes[best], 1000).astype(float))

@@ -103,6 +103,22 @@ def test_language_rule():
     assert pred == ["xx", "yy", "und", "und"] and score[0] > 0.9 and margin[0] > 0.1 and score[2:] == [0.0, 0.0]
 
 
+def test_language_lead_does_not_fade_with_length():
+    """Clear texts of 5 MB, one repeated and one never repeating, keep a lead."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    words = {k: ["".join(rng.choice(list(abc), rng.integers(3, 9))) for _ in range(3000)] for k, abc in (("xx", "abcdefgh"), ("yy", "ghijklmn"))}
+    text = lambda lang, n: " ".join(rng.choice(words[lang], n))
+    measure = langid.classifier({k: text(k, 30_000).encode() for k in words}, 6)
+    short = text("xx", 3000)
+    pred, score, margin = measure(pa.array([short, " ".join([short] * (5_000_000 // len(short))), text("xx", 750_000)]))
+    assert pred == ["xx"] * 3 and min(score) > 0.99
+    assert min(margin) >= 0.005 and margin[2] > margin[0] / 3
+    data = short.encode() * 3
+    assert b"".join(langid.pieces(data)) == data and max(map(len, langid.pieces(data))) <= langid.PIECE_BYTES
+
+
 @pytest.fixture(scope="module")
 def edges(spark):
     labels = [(100 + k, k % 2, int(k % 5 == 0)) for k in range(40)] + [(None, 1, 0), (101, None, None), (9999, 0, 1), (100, 1, 1)]
