@@ -149,6 +149,53 @@ def test_language_model_beats_the_base(spark):
     assert all(abs(again[r["doc_id"]] - r["score"]) < 0.02 * abs(r["score"]) for r in got)
 
 
+def test_contexts_are_the_previous_words(spark):
+    """Each of 200 words is followed by one of its own: held-out texts of the
+    chain are foreseen, the same words in another order are not."""
+    rng = random.Random(2)
+    follows = list(range(200))
+    rng.shuffle(follows)
+
+    def chain(n):
+        out = [rng.randrange(200)]
+        while len(out) < n:
+            out.append(follows[out[-1]])
+        return out
+
+    rows = [(k, " ".join(f"w{x}" for x in chain(40)), "en", "s", 1) for k in range(600)]
+    odd = next(k for k in range(10_000, 20_000) if crc(k, 7) == 2)
+    rows.append((odd, " ".join(f"w{x}" for x in rng.choices(range(200), k=400)), "en", "s", 1))
+    got = lm_hpy.score(table(spark, rows)).collect()
+    check_lm(spark, rows, got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] != odd]
+    per_token = sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert per_token > -0.5 and all(r["base_score"] / r["n_tokens"] < -2 for r in held)
+    assert all(r["score"] / r["n_tokens"] < -1.5 for r in got if r["doc_id"] == odd)
+
+
+def exact_tables(c, a, d):
+    """P of 1, 2, ... tables of c customers."""
+    p = np.zeros(c + 1)
+    p[1] = 1.0
+    for n in range(1, c):
+        p = p * np.maximum(n - d * np.arange(c + 1), 0) + a * np.concatenate(([0], p[:-1]))
+        p /= p.sum()
+    return p
+
+
+def test_drawn_tables_follow_the_exact_distribution():
+    rng, n = np.random.default_rng(0), 20_000
+    for c, a, d in ((2, 0.3, 0.8), (4, 0.8, 0.5), (40, 5.0, 0.7), (256, 0.01, 0.9), (256, 90.0, 0.3)):
+        t = lm_hpy.draw_tables(np.full(n, c), np.full(n, a), d, rng)
+        got = np.bincount(t, minlength=c + 1) / n
+        assert len(got) == c + 1 and np.abs(np.cumsum(got) - np.cumsum(exact_tables(c, a, d))).max() < 0.015
+    for c, a, d in ((257, 30.0, 0.8), (3000, 0.01, 0.8), (3000, 4.0, 0.6), (3000, 60.0, 0.8), (3000, 1000.0, 0.5), (3000, 20.0, 0.05)):
+        t = lm_hpy.draw_tables(np.full(n, c), np.full(n, a), d, rng)
+        got = np.bincount(t, minlength=c + 1) / n
+        assert len(got) == c + 1 and np.abs(np.cumsum(got) - np.cumsum(exact_tables(c, a, d))).max() < 0.06
+    assert lm_hpy.draw_tables(np.array([1, 10**9]), np.array([3.0, 1e-9]), 0.5, rng).tolist() == [1, 1]
+
+
 def toy(n=3000, seed=0):
     rng = np.random.default_rng(seed)
     counts = np.zeros((n, lm_hpy.CONTEXTS), np.int64)
