@@ -148,7 +148,8 @@ def read_chunks(docs: DataFrame) -> DataFrame:
 
 class Seating:
     """Table sizes of many dishes: ``size[i, k]`` occurs ``many[i, k]`` times.
-    Tables of equal size are exchangeable, so this is all a restaurant needs."""
+    Tables of equal size are exchangeable, so this is all a restaurant needs.
+    Customers move one by one: the measure that ``draw_tables`` is held to."""
 
     def __init__(self, customers: np.ndarray, tables: np.ndarray, slots: int):
         n = len(customers)
@@ -160,9 +161,6 @@ class Seating:
         self.many[one, 0], self.many[one, 1] = tables[one], 0
         self.tables, self.customers = tables.astype(np.int64), customers.astype(np.int64)
 
-    def room(self) -> np.ndarray:
-        return (self.many == 0).sum(axis=1) >= 2
-
     def _pick(self, rows: np.ndarray, weight: np.ndarray, rng) -> np.ndarray:
         upto = np.cumsum(weight, axis=1)
         drawn = rng.random(len(rows)) * upto[:, -1]
@@ -279,7 +277,9 @@ def _pick_tables(log_p: np.ndarray, drawn: np.ndarray) -> np.ndarray:
 
 def sample_seatings(counts: np.ndarray, totals: dict, rng) -> tuple[np.ndarray, np.ndarray]:
     """Tables of each context [samples, words, contexts] and of the parent
-    [samples, words] for the words of ``counts``."""
+    [samples, words] for the words of ``counts``. A round seats all customers
+    anew: those of the contexts given the word's probability in the parent,
+    the parent's given their tables, and then draws that probability."""
     n = len(counts)
     d1, d0 = totals["d1"], totals["d0"]
     new_parent = (STRENGTH + d0 * totals["parent_tables"]) * totals["base"]
@@ -287,40 +287,18 @@ def sample_seatings(counts: np.ndarray, totals: dict, rng) -> tuple[np.ndarray,
     open_ = STRENGTH + d1 * totals["tables"]
     guess = np.where(counts > 0, counts.astype(float) ** d1, 0).sum(axis=1)
     p0 = (np.maximum(guess - d0, 0) + new_parent) / seats
-    rounds = BURN_IN + SAMPLES
-    contexts, tables = [], np.minimum(counts, 1)
-    for u in range(CONTEXTS):
-        rows = np.flatnonzero(counts[:, u] > 1)
-        c = counts[rows, u]
-        t = expected_tables(c, open_[u] * p0[rows], d1)
-        tables[rows, u] = t
-        groups = []
-        for few in (True, False):  # sizes of up to 9 customers need 4 slots
-            own = np.flatnonzero((c <= 9) == few)
-            groups.append((rows[own], Seating(c[own], t[own], 4 if few else 2 + 2 * rounds)))
-        contexts.append(groups)
-    customers = tables.sum(axis=1)
-    parent = Seating(customers, expected_tables(customers, np.full(n, new_parent), d0), 24)
+    tables, parent = np.zeros((n, CONTEXTS), np.int64), np.zeros(n, np.int64)
     kept_t, kept_r = np.empty((SAMPLES, n, CONTEXTS), np.int64), np.empty((SAMPLES, n), np.int64)
-    for r in range(rounds):
-        for u, groups in enumerate(contexts):
-            for rows, seating in groups:
-                local = np.flatnonzero(parent.room()[rows])
-                if not len(local):
-                    continue
-                word = rows[local]
-                closed = seating.leave(local, rng)
-                parent.leave(word[closed], rng)
-                p0 = (parent.customers[word] - d0 * parent.tables[word] + new_parent) / seats
-                new = seating.enter(local, open_[u] * p0, d1, rng)
-                opened = word[new]
-                parent.enter(opened, np.full(len(opened), new_parent), d0, rng)
-                tables[word, u] += new.astype(np.int64) - closed
-        rows = np.flatnonzero(parent.room() & (parent.customers > 1))
-        parent.leave(rows, rng)
-        parent.enter(rows, np.full(len(rows), new_parent), d0, rng)
+    for r in range(BURN_IN + SAMPLES):
+        for u in range(CONTEXTS):
+            rows = np.flatnonzero(counts[:, u])
+            tables[rows, u] = draw_tables(counts[rows, u], open_[u] * p0[rows], d1, rng)
+        customers = tables.sum(axis=1)
+        rows = np.flatnonzero(customers)
+        parent[rows] = draw_tables(customers[rows], np.full(len(rows), new_parent), d0, rng)
+        p0 = np.maximum(rng.gamma(customers - d0 * parent + new_parent), 1e-200) / seats
         if r >= BURN_IN:
-            kept_t[r - BURN_IN], kept_r[r - BURN_IN] = tables, parent.tables
+            kept_t[r - BURN_IN], kept_r[r - BURN_IN] = tables, parent
     return kept_t, kept_r
 
 

@@ -217,6 +217,30 @@ def test_seatings_are_consistent():
     assert (r >= 1).all() and (r <= t.sum(axis=2)).all()
 
 
+def test_all_customers_of_frequent_words_are_reseated():
+    """Words of the same large counts get tables as different as the posterior
+    says, not one start with a few moves."""
+    n = 400
+    counts = np.full((n, lm_hpy.CONTEXTS), 50_000)
+    totals = {
+        "d1": 0.7, "d0": 0.5, "base": 1 / (n + 1), "served": counts.sum(axis=0).astype(float), "tables": np.full(lm_hpy.CONTEXTS, 1e5),
+        "parent_customers": 8e5, "parent_tables": 4e3,
+    }
+    t, r = lm_hpy.sample_seatings(counts, totals, np.random.default_rng(1))
+    assert ((t >= 1) & (t <= counts)).all() and ((r >= 1) & (r <= t.sum(axis=2))).all()
+    assert t.std(axis=1).min() > 10 and (abs(t[1] - t[0]) > 6).mean() > 0.5
+
+
+def test_draws_agree_with_moves_one_by_one():
+    rng, n, c, a, d = np.random.default_rng(0), 5000, 12, 2.0, 0.6
+    s, rows = lm_hpy.Seating(np.full(n, c), np.full(n, 2), 12), np.arange(n)
+    for _ in range(150):
+        s.leave(rows, rng)
+        s.enter(rows, np.full(n, a), d, rng)
+    drawn = lm_hpy.draw_tables(np.full(n, c), np.full(n, a), d, rng)
+    assert abs(drawn.mean() - s.tables.mean()) < 0.1 and abs(drawn.std() - s.tables.std()) < 0.1
+
+
 def test_each_sample_is_a_distribution():
     """The averaged predictive sums to one over the words and the unknown."""
     counts, totals = toy()
