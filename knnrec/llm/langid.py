@@ -45,19 +45,22 @@ def learn(train: DataFrame, samples: int = 400, excerpt: int = 500) -> dict[str,
     """Dictionary content per non-null lang: excerpts (``excerpt`` characters)
     of at most ``samples`` different texts. Texts fall into ``samples`` buckets
     by hash and the smallest hash of each bucket is taken, so copies count
-    once, whatever their number. The driver holds samples x excerpt
+    once, whatever their number. An excerpt starts anywhere in the whole text,
+    as the hash says, so shared openings do not fill the dictionary; equal
+    excerpts count once. The driver holds samples x excerpt
     characters per language."""
     rows = train.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
     chosen = rows.groupBy("lang", F.pmod("h", F.lit(samples)).alias("b")).agg(F.min("h").alias("h"))
+    start = F.pmod(F.xxhash64("h", F.lit(11)), F.greatest(F.length("text") - excerpt, F.lit(0)) + 1) + 1
     excerpts = (
         rows.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"], "left_semi")
-        .select("lang", "h", F.substring("text", 1, excerpt).alias("t"))
+        .select("lang", "h", F.col("text").substr(start.cast("int"), F.lit(excerpt)).alias("t"))
         .dropDuplicates(["lang", "h"])
     )
     found: dict[str, list[tuple[int, str]]] = {}
     for row in excerpts.collect():
         found.setdefault(row["lang"], []).append((row["h"], row["t"]))
-    content = {lang: normalise(" ".join(t for _, t in sorted(parts))) for lang, parts in sorted(found.items())}
+    content = {lang: normalise(" ".join(dict.fromkeys(t for _, t in sorted(parts)))) for lang, parts in sorted(found.items())}
     return {lang: data for lang, data in content.items() if len(data) >= 8}
 
 

@@ -119,6 +119,17 @@ def test_language_lead_does_not_fade_with_length():
     assert b"".join(langid.pieces(data)) == data and max(map(len, langid.pieces(data))) <= langid.PIECE_BYTES
 
 
+def test_dictionaries_are_not_filled_by_openings(spark):
+    """Texts of one opening differ after it; half of each is the opening."""
+    opening = "shared opening of every page " * 35
+    body = lambda k: "".join(f" word{chr(97 + k % 26)}{chr(97 + j)}" * 6 for j in range(26))
+    rows = [(k, opening + body(k) + f" {k}", "en", "s", 1) for k in range(200)]
+    content = langid.learn(table(spark, rows))["en"]
+    assert content.count(b"word") > 2000 and content.count(b"opening") > 200
+    short = [(k, "a short text", "en", "s", 1) for k in range(3)] + [(9, "another one", "en", "s", 1)]
+    assert sorted(langid.learn(table(spark, short))["en"].split()) == sorted(b"a short text another one".split())
+
+
 @pytest.fixture(scope="module")
 def edges(spark):
     labels = [(100 + k, k % 2, int(k % 5 == 0)) for k in range(40)] + [(None, 1, 0), (101, None, None), (9999, 0, 1), (100, 1, 1)]
