@@ -499,6 +499,11 @@ def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataF
     component unless alone (null). An empty table gives no rows; other columns
     are ignored.
     """
+    return linked(docs, size, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def linked(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``join`` with the class key of each row and the component's own key."""
     prepare(docs.sparkSession)
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -525,24 +530,46 @@ def join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataF
     of_class = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
     of_class = of_class.join(final, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = of_class.join(least, "component").select("key", "component_id")
+    of_class = of_class.join(least, "component").select("key", "component", "component_id")
     return members.join(of_class, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "key", "component",
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the smallest
-    doc_id. Of several rows with that id one stays. Rows with a null id and
+    doc_id; of several rows with that id in the component one stays. Rows of a
+    repeated id are judged each by its own text. Rows with a null id and
     documents without words stay."""
-    found = stage(join(docs, size, num, den), "jac-joined")
+    found = stage(linked(docs, size, num, den), "jac-joined")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     if gone.count() <= BROADCAST_IDS:  # texts are not shuffled
         gone = F.broadcast(gone)
     kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    twice = found.where("doc_id = component_id AND n_shingles > 0").groupBy(F.col("doc_id").alias("twice_id")).count().where("count > 1").select("twice_id")
-    if twice.isEmpty():
+    repeated = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("twice_id")).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = stage(repeated.where("rows > 1").select("twice_id"), "jac-repeated")
+    if repeated.isEmpty():
         return kept
     same = F.col("doc_id").cast("long") == F.col("twice_id")
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    return kept.join(repeated, same, "left_anti").unionByName(keep_rows(docs.join(repeated, same, "left_semi"), found, size))
+
+
+def keep_rows(docs: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """``keep_one`` for the rows ``docs`` of repeated ids, by (doc_id, key)."""
+    names, k = docs.columns, len(docs.columns)
+    wide = docs.select("*", F.col("text").cast("string"), F.lit(0).cast("long"))
+    wide = wide.toDF(*(f"c{i}" for i in range(k)), "text_of", "key")
+    fields = wide.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.zeros(0, np.int64), *(x for _, _, x in text_sets(batch.column(k), size))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: k + 1], pa.array(np.concatenate(keys))], names=fields)
+
+    stays = found.where("n_shingles = 0 OR doc_id = component_id").select("doc_id", F.col("key").alias("stay_key"), "n_shingles", "component").distinct()
+    of = fields[names.index("doc_id")]
+    rows = wide.mapInArrow(run, wide.schema).join(stays, [F.col(of).cast("long") == F.col("doc_id"), F.col("key") == F.col("stay_key")])
+    words = rows.where("n_shingles > 0").dropDuplicates([of, "component"])
+    return rows.where("n_shingles = 0").unionByName(words).select(*fields[:k]).toDF(*names)

@@ -166,6 +166,19 @@ def test_keep_one(spark):
     assert jaccard_tree.keep_one(table(spark, [])).count() == 0
 
 
+def test_keep_one_judges_rows_of_a_repeated_id_by_their_own_text(spark):
+    rng = random.Random(4)
+    near, other, third, alone = (prose(rng, 120) for _ in range(4))
+    rows = [
+        (1, near, "en", "s", 1), (2, near + " end", "en", "s", 1), (2, other, "en", "s", 1), (2, other, "en", "s", 1), (2, "", "en", "s", 1),
+        (3, third, "en", "s", 1), (3, alone, "en", "s", 1), (4, third + " end", "en", "s", 1), (5, other + " end", "en", "s", 1), (6, prose(rng, 90), "en", "s", 1),
+    ]
+    kept = jaccard_tree.keep_one(table(spark, rows, clash=True))
+    assert kept.columns == table(spark, rows, clash=True).columns
+    want = [(1, near), (2, other), (2, ""), (3, third), (3, alone), (6, rows[-1][1])]
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted(want)
+
+
 def test_components_of_chains_stars_and_nulls(spark):
     rng = random.Random(2)
     links = [(k, k + 1) for k in range(1000, 1100)] + [(5, k) for k in range(200, 300)] + [(7, 7), (300, 42)]
