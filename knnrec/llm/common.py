@@ -69,6 +69,23 @@ def staged_count() -> int:
     return len(_STAGED)
 
 
+def hot_join(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner", parts: int = 1000) -> DataFrame:
+    """``rows`` (staged: read several times) joined with ``facts`` (one row
+    per key; ``how``: inner or left). Keys that hold more than 1 / ``parts`` of
+    the rows, of which there are at most ``parts``, are joined by broadcast, so
+    that no hot key is shuffled; the others by an ordinary join."""
+    spark = rows.sparkSession
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_"))
+    total = rows.count()
+    found = counts.where(F.col("n_") * parts > max(total, ARROW_ROWS * parts)).select(*keys).collect()  # <= parts rows
+    if not found:
+        return rows.join(facts, keys, how)
+    hot = F.broadcast(spark.createDataFrame(found, rows.select(*keys).schema))
+    few = F.broadcast(facts.join(hot, keys, "left_semi"))
+    split = rows.join(hot, keys, "left_semi").join(few, keys, how)
+    return split.unionByName(rows.join(hot, keys, "left_anti").join(facts, keys, how))
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(modulus)

@@ -108,4 +108,49 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged"""
 
 
-ORACLES = {"op2_embedding_near_dedup": OP2, "op4_ngram_jaccard_join": OP4, "op5_quality_rules": op5()}
+OP12 = """
+WITH texts AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM texts WINDOW g AS (PARTITION BY text_sha256)"""
+
+#: CRC-32 of a string of digits, bit by bit.
+CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    flatten([[CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(CAST({id} AS VARCHAR), '')])),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+OP13 = f"""
+WITH filled AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+named AS (
+  SELECT c, turn, sha256(CAST(length(r) AS VARCHAR) || ':' || r || t) AS g, len({WORDS.format(text="t")}) AS words FROM filled),
+own AS (SELECT c, g, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, g) - 1 AS p FROM named),
+lens AS (SELECT c, count(*) AS n FROM own GROUP BY c),
+convs AS (
+  SELECT x.c, x.c - x.c % 20 AS base, {CRC.format(id="x.c")} % 4 AS h, least(h, coalesce(b.n, 0)) AS m
+  FROM lens x LEFT JOIN lens b ON b.c = x.c - x.c % 20),
+turns AS (
+  SELECT convs.c, p AS i, g, words FROM convs JOIN own ON own.c = base WHERE p < m
+  UNION ALL SELECT convs.c, p - h + m, g, words FROM convs JOIN own ON own.c = convs.c WHERE p >= h),
+paths AS (
+  SELECT c, i + 1 AS d, words, string_agg(g, ',') OVER (PARTITION BY c ORDER BY i) AS k,
+         coalesce(string_agg(g, ',') OVER (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS pk
+  FROM turns UNION ALL SELECT c, 0, 0, '', NULL FROM convs),
+deepest AS (SELECT c, max(d) AS d FROM paths GROUP BY c),
+nodes AS (
+  SELECT k, any_value(pk) AS pk, min(paths.c) AS conv_id, any_value(paths.d) AS depth, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN deepest.d = paths.d THEN CAST(paths.c AS VARCHAR) END, ',' ORDER BY paths.c), '')) AS ends_sha256
+  FROM paths JOIN deepest ON deepest.c = paths.c GROUP BY k),
+kids AS (SELECT pk, count(*) AS n_children FROM nodes WHERE pk IS NOT NULL GROUP BY pk),
+inside AS (SELECT DISTINCT x.k AS top, y.k FROM paths x JOIN paths y ON x.c = y.c AND x.d <= y.d),
+sums AS (
+  SELECT top, CAST(count(*) FILTER (kids.pk IS NULL) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM inside JOIN nodes USING (k) LEFT JOIN kids ON kids.pk = nodes.k GROUP BY top)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, v.ends_sha256
+FROM nodes v LEFT JOIN nodes up ON up.k = v.pk LEFT JOIN kids ON kids.pk = v.k JOIN sums ON sums.top = v.k"""
+
+
+ORACLES = {"op12_exact_dedup": OP12, "op13_conversation_trie": OP13, "op2_embedding_near_dedup": OP2, "op4_ngram_jaccard_join": OP4, "op5_quality_rules": op5()}

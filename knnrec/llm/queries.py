@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knnrec.llm import chat, embedding_lsh, jaccard_tree, langid, lm_hpy, mixing, packing, quality_fm, quality_rules, toxicity
+from knnrec.llm import chat, embedding_lsh, exact_dedup, jaccard_tree, langid, lm_hpy, mixing, packing, prefix_trie, quality_fm, quality_rules, toxicity, whitening
 from knnrec.llm.common import fold
 from knnrec.llm.oracle import ORACLES  # noqa: F401  read by __spark_entry__
 
@@ -66,7 +66,20 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(rows))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_embedding_near_dedup, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op7_toxicity, op8_lm_scoring, op9_language_id, op10_chat_formatting)
+    for f in (op1_best_fit_packing, op2_embedding_near_dedup, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_rules, op6_quality_classifier, op7_toxicity, op8_lm_scoring, op9_language_id, op10_chat_formatting, op11_embedding_whitening, op12_exact_dedup, op13_conversation_trie)
 }
