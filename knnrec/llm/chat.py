@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knnrec.llm.common import prepare
-from knnrec.llm.packing import encoder
+from knnrec.llm.packing import encoder, has_long_space, json_encoder
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
 _TURN = re.compile(r"### ((?:[^\\#<:]|\\.)*): ((?:[^\\#<]|\\.)*) </turn>\n", re.S)
@@ -49,8 +49,8 @@ class Formatter:
     """Turns of one conversation in, finished windows out. Holds the system
     turn, the repeatable history and the window being filled, never more."""
 
-    def __init__(self, conv_id, budget: int, history: int, count):
-        self.conv_id, self.budget, self.history, self.count = conv_id, budget, history, count
+    def __init__(self, conv_id, budget: int, history: int):
+        self.conv_id, self.budget, self.history = conv_id, budget, history
         self.system = None
         self.before: deque = deque()  # (formatted, tokens) of the last turns
         self.before_tokens = 0
@@ -77,9 +77,8 @@ class Formatter:
         self.window += 1
         return row
 
-    def add(self, role: str, text: str) -> list[dict]:
+    def add(self, role: str, text: str, tokens: int) -> list[dict]:
         formatted, start, end = turn_text(role, text)
-        tokens = self.count(formatted)
         done = []
         if self.fresh and self.tokens + tokens > self.budget:
             done.append(self._close())
@@ -122,6 +121,26 @@ WINDOWS = pa.schema([
 ])
 
 
+def counted(turns: DataFrame, vocabulary: str) -> DataFrame:
+    """``turns`` (conv_id, turn, role, text) with the tokens of the formatted
+    turn, counted in the scan: no conversation's texts are one task's work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(vocabulary).encode_ordinary
+
+        def tokens(text: str) -> int:
+            if has_long_space(text):
+                return len(json_encoder(vocabulary).encode(text, add_special_tokens=False).ids)
+            return len(encode(text))
+
+        for batch in batches:
+            pairs = zip(batch.column(2), batch.column(3), strict=True)
+            n = pa.array([tokens(turn_text(r.as_py(), t.as_py())[0]) for r, t in pairs], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, n], names=[*batch.schema.names, "tokens"])
+
+    return turns.mapInArrow(run, "conv_id long, turn long, role string, text string, tokens long")
+
+
 def windows(
     conversations: DataFrame, budget: int = 1024, history: int = 256, vocabulary: str = "byte_bpe_50k.tiktoken"
 ) -> DataFrame:
@@ -133,30 +152,27 @@ def windows(
     roles and texts count as ''. A null conv_id is one conversation. A turn
     over the budget has a window to itself (with the system turn): texts are
     never cut. Repeated rows are turns of their own; an empty table gives no
-    rows; other columns are ignored. Tasks stream over sorted turns and hold
-    one window at a time, so a conversation may have any number of turns.
+    rows; other columns are ignored. Tokens are counted before the turns are
+    sorted; tasks then stream over sorted turns and hold one window at a time,
+    so a conversation may have any number of turns.
     """
     prepare(conversations.sparkSession)
-    ordered = (
-        conversations.select(
-            F.col("conv_id").cast("long"), F.col("turn").cast("long"),
-            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        )
-        .repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "text")
+    turns = conversations.select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    ordered = counted(turns, vocabulary).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
         current = None
         for batch in batches:
             out: list[dict] = []
-            for conv_id, _, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv_id, _, role, text, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if current is None or current.conv_id != conv_id:
                     out += current.finish() if current else []
-                    current = Formatter(conv_id, budget, history, lambda s: len(encode(s)))
-                out += current.add(role, text)
+                    current = Formatter(conv_id, budget, history)
+                out += current.add(role, text, tokens)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=WINDOWS)
         if current:

@@ -20,9 +20,10 @@ is collected and nothing is sorted.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,39 @@ def encoder(vocabulary: str):
     return _encoders[vocabulary]
 
 
+#: The rank file's pattern backtracks over white space; its stack holds some
+#: 10^6 characters. Texts with a run this long go through the JSON form.
+LONG_SPACE = 50_000
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_SPACE)
+_json_encoders: dict[str, object] = {}
+
+
+def json_encoder(vocabulary: str):
+    """The JSON form of the same vocabulary: slower, without that limit."""
+    if vocabulary not in _json_encoders:
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        _json_encoders[vocabulary] = Tokenizer.from_file(public_tokenizers.path(vocabulary.replace(".tiktoken", ".json")))
+    return _json_encoders[vocabulary]
+
+
+def has_long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and _LONG_SPACE.search(text) is not None
+
+
+def ids_of(vocabulary: str) -> Callable[[str], list[int]]:
+    """The ids of a text, whatever runs of white space it holds."""
+    encode = encoder(vocabulary).encode
+
+    def ids(text: str) -> list[int]:
+        if has_long_space(text):
+            return json_encoder(vocabulary).encode(text, add_special_tokens=False).ids
+        return encode(text, allowed_special="all")
+
+    return ids
+
+
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
     ("ids_crc32", pa.int64()), ("task", pa.int64()), ("rank", pa.int64()),
@@ -61,11 +95,11 @@ def tokenize(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
     """One row per piece. ``rank`` counts the pieces of its length in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, task = encoder(vocabulary).encode, np.zeros(capacity + 1, np.int64), task_id()
+        encode, seen, task = ids_of(vocabulary), np.zeros(capacity + 1, np.int64), task_id()
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in PIECES}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or "", allowed_special="all"), END_ID], dtype="<u4")
+                ids = np.array([*encode(text.as_py() or ""), END_ID], dtype="<u4")
                 first = (len(ids) - 1) % capacity + 1
                 for k, end in enumerate(range(first, len(ids) + 1, capacity)):
                     start = 0 if k == 0 else end - capacity

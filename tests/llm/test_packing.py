@@ -94,6 +94,24 @@ def _same(text):
     assert own == _JSON.encode(text, add_special_tokens=False).ids
 
 
+LONG = [" " * 1_100_000, *(space * 1_100_000 + "x" for space in "\t\n\u00a0"), "a" + " " * 1_100_000 + "<|endoftext|>b" * 3]
+
+
+def test_long_runs_of_white_space(spark):
+    """Runs that the rank file's pattern cannot take."""
+    ids_of = packing.ids_of("byte_bpe_50k.tiktoken")
+    for text in LONG:
+        assert ids_of(text) == _JSON.encode(text, add_special_tokens=False).ids
+    short = " " * (packing.LONG_SPACE - 1) + "x"
+    assert not packing.has_long_space(short) and ids_of(short) == _JSON.encode(short, add_special_tokens=False).ids
+    out = packing.pack(table(spark, [(k, t, "en", "s", 1) for k, t in enumerate(LONG)])).collect()
+    sizes = {k: 1 + len(_JSON.encode(t, add_special_tokens=False).ids) for k, t in enumerate(LONG)}
+    got = {}
+    for r in out:
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
+    assert got == sizes
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_pack_round_trip(spark, capacity):
     rows = edge_rows()

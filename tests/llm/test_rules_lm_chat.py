@@ -323,6 +323,16 @@ def ordered(rows):
     return {k: [x[2:] for x in sorted(v, key=lambda x: (x[0], x[1] or 0, x[2], x[3]))] for k, v in out.items()}
 
 
+def test_chat_with_long_runs_of_white_space(spark):
+    texts = [" " * 1_100_000, "\n" * 1_100_000 + "x"]
+    rows = [(1, k, "assistant", t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (got,) = chat.read_back(chat.windows(df)).collect()
+    loss = "".join(texts)
+    assert got["n_turns"] == len(texts) and got["loss_chars"] == len(loss)
+    assert got["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_chat_digests_and_budget(spark):
     rows = conversation_rows()
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, window int, tokens int")
