@@ -4,17 +4,18 @@ A classifier fitted on the labelled table gives every document posteriors over
 the domains. Nonnegative rates r_i (how often a document is used) are fitted so
 that the expected tokens of domain d, sum_i r_i n_i p_id, match its target: least
 squares by projected gradient from r = 1. Domains are weighted by their present
-tokens and documents scaled by theirs, so a full step of 1 never overshoots and
-sharp posteriors settle in a few rounds. A round is one distributed sum; since
-the rates follow from the gradients so far, nothing but one number per domain
-and round is kept.
+tokens and documents scaled by theirs, so a full step of 1 never overshoots.
+
+A document's rate follows from its posteriors and the steps so far. So one
+distributed sum over cells of like posteriors is all that the steps read; they
+go on until the targets are met or no longer come nearer, and a second sum over
+all documents says how far they were missed, which the result reports.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,12 @@ from knnrec.llm.features import blocks, collect_features, feature_columns, input
 DOMAINS = ("clean", "toxic", "poor")
 TARGETS = {"clean": 0.97, "toxic": 0.03, "poor": 0.0}
 WIDTH = 256
+#: Cells of the posteriors: steps per domain.
+GRID = 256
+#: The steps end when so many rounds gain less than this share of the miss.
+PATIENCE, PROGRESS = 50, 0.05
+#: Passes over all documents that compare them with their cells.
+CORRECTIONS = 3
 
 
 @dataclass
@@ -106,40 +113,103 @@ def memberships(docs: DataFrame, model: DomainModel) -> DataFrame:
     )
 
 
-def rate(gradients: list[list[float]]) -> Column:
-    """The rate after the projected steps so far, from the posteriors."""
-    step = lambda g: sum((F.col(f"p_{d}") * F.lit(v) for d, v in zip(DOMAINS, g, strict=True)), F.lit(0.0))
-    return reduce(lambda r, g: F.greatest(F.lit(0.0), r - step(g)), gradients, F.lit(1.0))
-
-
-def fit_rates(member: DataFrame, targets: dict[str, float], rounds: int = 25, tolerance: float = 1e-4) -> list[list[float]]:
-    """Gradients of the rounds, as ``rate`` takes them. ``targets`` are shares
-    of the present tokens; those of domains that have none are dropped and the
-    others scaled up. The last gradient's size is below ``tolerance`` (share
-    of tokens) unless the targets cannot be met or the rounds run out."""
-
-    def shares(r: Column) -> list[float]:
-        sums = member.agg(*(F.sum(r * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS)).first()
-        return [float(sums[d] or 0.0) for d in DOMAINS]
+@dataclass
+class Rates:
+    """A rate as a function of the posteriors: the projected steps taken.
+    ``miss`` is the distance left to the targets (shares of tokens, summed)."""
+
+    momentum: list[float]
+    gradients: list[np.ndarray]
+    miss: float = 0.0
+
+    def of(self, p: np.ndarray) -> np.ndarray:
+        r = before = np.ones(len(p))
+        for beta, g in zip(self.momentum, self.gradients, strict=True):
+            before, r = r, np.maximum(0.0, r + beta * (r - before) - p @ g)
+        return r
+
+
+def posterior_cells(member: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, mean posteriors) of the documents of each cell of a grid over
+    the posteriors: one distributed sum, of at most GRID^2 / 2 cells."""
+    at = [F.floor(F.col(f"p_{d}") * GRID).cast("int").alias(f"g_{d}") for d in DOMAINS[:-1]]
+    held = member.where("n_tokens > 0").groupBy(*at).agg(
+        F.sum("n_tokens").alias("n"), *(F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS)
+    )
+    t = held.orderBy(*(f"g_{d}" for d in DOMAINS[:-1])).toArrow()  # ordered: sums in a fixed order
+    n = t["n"].to_numpy().astype(float)
+    return n, np.stack([t[d].to_numpy() for d in DOMAINS], axis=1) / np.maximum(n, 1)[:, None]
+
+
+def settle(n: np.ndarray, p: np.ndarray, goal: np.ndarray, share: np.ndarray, tolerance: float) -> Rates:
+    """Accelerated projected gradient from r = 1 until the targets are met
+    within ``tolerance``, or until ``PATIENCE`` rounds have lowered the miss by
+    less than ``PROGRESS`` of it. The second end keeps targets that cannot be
+    met from piling all tokens on the few documents nearest to them."""
+    total, has = n.sum(), share > 0
+    weight = np.divide(1.0, share, out=np.zeros_like(share), where=has)
+    shares = lambda r: (r * n) @ p / total
+    out, t, misses = Rates([], []), 1.0, []
+    r = before = np.ones(len(n))
+    while True:
+        misses.append(float(np.abs(shares(r) - goal).sum()))
+        if misses[-1] < tolerance:
+            return out
+        if len(misses) > PATIENCE and min(misses[-PATIENCE:]) > (1 - PROGRESS) * min(misses[:-PATIENCE]):
+            return out
+        t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        beta = (t - 1) / t_next
+        y = r + beta * (r - before)
+        g = (shares(y) - goal) * weight
+        new = np.maximum(0.0, y - p @ g)
+        if ((y - new) * n) @ (new - r) > 0:  # the momentum leads astray: start it anew
+            t_next = 1.0
+        out.momentum.append(beta)
+        out.gradients.append(g)
+        before, r, t = r, new, t_next
+
+
+def token_shares(member: DataFrame, rates: Rates) -> np.ndarray:
+    """Expected tokens of each domain at these rates, over all documents."""
 
-    present = shares(F.lit(1.0))
-    total = sum(present)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(DOMAINS))
+        for batch in batches:
+            p = np.stack([c.to_numpy() for c in batch.columns[1:]], axis=1)
+            sums += (rates.of(p) * batch.column(0).to_numpy()) @ p
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], names=list(DOMAINS))
+
+    parts = member.select("n_tokens", *(f"p_{d}" for d in DOMAINS)).mapInArrow(run, ", ".join(f"{d} double" for d in DOMAINS))
+    sums = parts.agg(*(F.sum(d).alias(d) for d in DOMAINS)).first()
+    return np.array([sums[d] or 0.0 for d in DOMAINS])
+
+
+def fit_rates(member: DataFrame, targets: dict[str, float], tolerance: float = 1e-4) -> Rates:
+    """Rates that bring the expected tokens to ``targets`` (shares of the
+    present tokens; those of domains that have none are dropped and the others
+    scaled up). Documents enter by cells of like posteriors; the miss is then
+    taken over all documents and returned; it is above ``tolerance`` where the
+    targets cannot be met, or only by a few documents."""
+    n, p = posterior_cells(member)
+    total = n.sum()
     if not total:
-        return []
-    has = [s > 1e-9 * total for s in present]
-    whole = sum(targets[d] for d, h in zip(DOMAINS, has, strict=True) if h)
-    if not whole:
+        return Rates([], [])
+    share = n @ p / total
+    has = share > 1e-9
+    wanted = np.where(has, [targets[d] for d in DOMAINS], 0.0)
+    if not wanted.sum():
         raise ValueError("no domain with tokens has a target")
-    goal = [targets[d] / whole if h else 0.0 for d, h in zip(DOMAINS, has, strict=True)]
-    share = [s / total for s in present]
-    now, gradients = share, []
-    for _ in range(rounds):
-        miss = [n - g for n, g in zip(now, goal, strict=True)]
-        if sum(map(abs, miss)) < tolerance:
+    goal = wanted / wanted.sum()
+    best, offset = None, np.zeros(len(goal))
+    for _ in range(CORRECTIONS):  # cells stand for their documents but for those at a rate of 0
+        rates = settle(n, p, goal - offset, np.where(has, share, 0.0), tolerance / 2)
+        reached = token_shares(member, rates) / total
+        rates.miss = float(np.abs(reached - goal).sum())
+        best = rates if best is None or rates.miss < best.miss else best
+        if best.miss < tolerance:
             break
-        gradients.append([m / s if h else 0.0 for m, s, h in zip(miss, share, has, strict=True)])
-        now = [s / total for s in shares(rate(gradients))]
-    return gradients
+        offset = reached - (rates.of(p) * n) @ p / total
+    return best
 
 
 def draw() -> Column:
@@ -148,7 +218,9 @@ def draw() -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, n_tokens, p_<domain>, rate and copies of every document.
+    """doc_id, n_tokens, p_<domain>, rate and copies of every document, and
+    target_miss, the same in every row: how far the expected shares stay from
+    the targets, in sum.
 
     copies: the rate rounded down, plus one with the probability of the rest,
     decided by a hash of the id (repeated rows of an id are decided alike).
@@ -158,9 +230,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """
     prepare(docs.sparkSession)
     member = stage(memberships(docs, learn(docs, labels)), "mix-members")
-    rated = member.withColumn("rate", rate(fit_rates(member, targets or TARGETS)))
+    rates = fit_rates(member, targets or TARGETS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = np.stack([c.to_numpy() for c in batch.columns[2:]], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates.of(p))], names=[*batch.schema.names, "rate"])
+
+    rated = member.mapInArrow(run, member.schema.simpleString()[7:-1].replace(":", " ") + ", rate double")
     whole = F.floor("rate")
-    return rated.withColumn("copies", (whole + (draw() < F.col("rate") - whole).cast("int")).cast("long"))
+    copies = (whole + (draw() < F.col("rate") - whole).cast("int")).cast("long")
+    return rated.select("*", copies.alias("copies"), F.lit(rates.miss).alias("target_miss"))
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
@@ -169,13 +249,12 @@ def apply_mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | No
     prepare(docs.sparkSession)
     model = learn(docs, labels)
     member = stage(memberships(docs, model), "mix-members")
-    gradients = np.array(fit_rates(member, targets or TARGETS)).reshape(-1, len(DOMAINS))
+    rates = fit_rates(member, targets or TARGETS)
 
     def times(columns: list[pa.Array]) -> np.ndarray:
         r, u = np.ones(len(columns[0])), columns[2].to_numpy()
         for lo, hi, x in blocks(columns[0], columns[1], WIDTH):
-            for step in (model.posteriors(x) @ gradients.T).T:
-                r[lo:hi] = np.maximum(0.0, r[lo:hi] - step)
+            r[lo:hi] = rates.of(model.posteriors(x))
         return (np.floor(r) + (u < r - np.floor(r))).astype(np.int64)
 
     return repeat_rows(docs, [*feature_columns(docs), draw().alias("u")], times)

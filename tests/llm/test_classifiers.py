@@ -173,32 +173,36 @@ def test_one_label_value_alone(spark, edges):
     assert not any(r["toxic"] for r in toxicity.score(docs, toxicity.learn(docs, same)).collect())
 
 
-def brute_rates(p, n, targets, rounds=25, tolerance=1e-4):
-    total, share = n.sum(), (p * n[:, None]).sum(axis=0) / n.sum()
-    has = share > 1e-9
-    goal = np.where(has, targets, 0) / np.sum(np.where(has, targets, 0))
+def brute_miss(p, n, goal, rounds):
+    """What plain projected gradient over all documents leaves."""
+    share = (p * n[:, None]).sum(axis=0) / n.sum()
     r = np.ones(len(n))
     for _ in range(rounds):
-        miss = (r[:, None] * p * n[:, None]).sum(axis=0) / total - goal
-        if np.abs(miss).sum() < tolerance:
-            break
-        r = np.maximum(0, r - p @ np.where(has, miss / np.where(has, share, 1), 0))
-    return r
+        r = np.maximum(0, r - p @ (((r * n) @ p / n.sum() - goal) / share))
+    return float(np.abs((r * n) @ p / n.sum() - goal).sum())
 
 
-def test_rates_equal_brute_force_and_meet_targets(spark):
+@pytest.mark.parametrize("spread, goal, met", [(0.2, [0.7, 0.2, 0.1], True), (3.0, [0.6, 0.3, 0.1], True), (30.0, [0.4, 0.3, 0.3], True), (0.2, [0.97, 0.03, 0.0], False), (3.0, [0.97, 0.03, 0.0], False)])
+def test_rates_meet_targets_or_report_the_miss(spark, spread, goal, met):
+    """Sharp (0.2) to soft (30) posteriors; some targets cannot be met."""
     rng = np.random.default_rng(0)
-    p = rng.dirichlet([0.2, 0.2, 0.2], 500)
+    p = rng.dirichlet([spread] * 3, 500)
     n = rng.integers(0, 900, 500)
     rows = [(k, int(n[k]), *map(float, p[k])) for k in range(500)]
     member = spark.createDataFrame(rows, "doc_id long, n_tokens long, p_clean double, p_toxic double, p_poor double")
-    targets = {"clean": 0.7, "toxic": 0.2, "poor": 0.1}
-    gradients = mixing.fit_rates(member, targets)
-    got = member.withColumn("rate", mixing.rate(gradients)).orderBy("doc_id").collect()
-    rate = np.array([r["rate"] for r in got])
-    assert np.allclose(rate, brute_rates(p, n, [0.7, 0.2, 0.1]), atol=1e-9) and (rate >= 0).all()
-    share = (rate[:, None] * p * n[:, None]).sum(axis=0) / n.sum()
-    assert np.abs(share - [0.7, 0.2, 0.1]).sum() < 1e-3
+    rates = mixing.fit_rates(member, dict(zip(mixing.DOMAINS, goal, strict=True)))
+    r = rates.of(p)
+    assert (r >= 0).all() and abs(np.abs((r * n) @ p / n.sum() - goal).sum() - rates.miss) < 1e-9
+    assert (rates.miss < 1e-4) == met and rates.miss < brute_miss(p, n, np.array(goal), 100) + 1e-4
+
+
+def test_mix_reports_what_is_missed(spark):
+    mixed = mixing.mix(both(spark, "documents"), both(spark, "labels"))
+    rows = mixed.collect()
+    (miss,) = {r["target_miss"] for r in rows}
+    tokens = sum(r["n_tokens"] for r in rows)
+    left = [sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows) / tokens - mixing.TARGETS[d] for d in mixing.DOMAINS]
+    assert abs(sum(map(abs, left)) - miss) < 1e-9
 
 
 def test_mix_and_apply_mix_agree(spark):
