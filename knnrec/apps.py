@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--master", default=None)
         p.add_argument("--duplicates", choices=["avg", "sum", "error"], default="avg",
                        help="what several train lines of one (user, item) mean")
-        p.add_argument("--persist", choices=["persist", "checkpoint", "none"], default="persist",
+        p.add_argument("--persist", choices=["table", "persist", "checkpoint", "none"], default="table",
                        help="checkpoint: write intermediates to spark.checkpoint.dir (cuts lineage)")
         if name == "approximate":
             p.add_argument("--partitions", type=int, default=10)

@@ -43,6 +43,7 @@ def blocked_join(
     condition: Callable[[], Column] | None = None,
     block_rows: int = CELL_ROWS,
     self_join: bool = False,
+    largest: int | None = None,
 ) -> DataFrame:
     """Inner equi-join on ``keys`` (same names on both sides; all other
     column names must differ). A hot key with ``nb`` blocks sends each left
@@ -54,12 +55,15 @@ def blocked_join(
     The hot keys are counted when the plan is made: without any, this is a
     plain join; a list within ``BROADCAST_KEYS`` is broadcast, a longer one
     joined like any table. ``self_join``: both sides have the same key counts
-    (count once)."""
-    frames = [left] if self_join else [left, right]
-    hot = materialize(hot_key_blocks(frames, keys, block_rows))
-    n_hot = hot.count()
-    if n_hot <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
+    (count once). ``largest``: the most rows a key has, where that is known;
+    up to ``block_rows`` nothing is counted."""
+    n_hot = 0
+    if largest is None or largest > block_rows:
+        frames = [left] if self_join else [left, right]
+        hot = materialize(hot_key_blocks(frames, keys, block_rows))
+        n_hot = hot.count()
+        if n_hot <= BROADCAST_KEYS:
+            hot = F.broadcast(hot)
     if not n_hot:
         other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
         same = [F.col(k) == F.col(f"_r_{k}") for k in keys] + ([condition()] if condition is not None else [])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from knnrec.functions.columns import SIM_DIGITS
 from knnrec.operators.neighbors import slot_topk
 from knnrec.operators.normalize import normalized_deviations, unit_ratings
-from knnrec.operators.similarity import mirror, similarity_half
+from knnrec.operators.similarity import CELL_ROWS, mirror, similarity_half
+from knnrec.operators.topk_join import item_counts, item_profile, topk_join
 from knnrec.session import materialize, release
 from knnrec.sources.ratings import RATING_HI, RATING_LO, dedup_ratings
 
@@ -35,7 +36,7 @@ class KnnModel:
         release(*self.pinned)
 
 
-def base_frames(train: DataFrame, persist: str = "persist", lo: float = RATING_LO, hi: float = RATING_HI,
+def base_frames(train: DataFrame, persist: str = "table", lo: float = RATING_LO, hi: float = RATING_HI,
                 duplicates: str | None = "avg"):
     """User statistics, deviations and unit rows, each read several times.
 
@@ -60,11 +61,15 @@ def exact_similarities(unit: DataFrame, **blocking) -> DataFrame:
     return mirror(similarity_half(unit, **blocking))
 
 
+METHODS = ("auto", "pairs", "bounded")
+
+
 def fit_exact(
     train: DataFrame,
     k: int,
     n_users: int | None = None,
-    persist: str = "persist",
+    persist: str = "table",
+    method: str = "auto",
     lo: float = RATING_LO,
     hi: float = RATING_HI,
     duplicates: str | None = "avg",
@@ -77,10 +82,21 @@ def fit_exact(
     rule (default: users present in ``train``). ``duplicates``: policy for
     repeated (u, i) rows, or None when there are none. Similarities are
     rounded to ``sim_digits`` decimals; those that round to 0 are not
-    stored."""
+    stored. ``method``: ``pairs`` multiplies all co-rating pairs, ``bounded``
+    skips products that cannot reach a user's top k (``topk_join``), ``auto``
+    takes the latter where most products come from items of very many raters.
+    All give the same neighbours."""
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}")
     stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi, duplicates)
-    half = materialize(similarity_half(unit, digits=sim_digits, **blocking), persist)
     n = F.lit(n_users) if n_users is not None else n_train_users
-    neighbors = materialize(slot_topk(mirror(half), k, n), persist)
-    return KnnModel(stats, devs, neighbors, global_avg, n, k, (),
-                    [stats, devs, unit, half, neighbors])
+    profile = item_profile(item_counts(unit))
+    pinned = [stats, devs, unit]
+    if method == "bounded" or (method == "auto" and profile.skewed(blocking.get("block_rows", CELL_ROWS))):
+        sims = topk_join(unit, k, sim_digits, persist, **blocking).similarities
+    else:
+        half = similarity_half(unit, digits=sim_digits, largest=profile.largest, **blocking)
+        pinned.append(materialize(half, persist))
+        sims = mirror(half)
+    neighbors = materialize(slot_topk(sims, k, n), persist)
+    return KnnModel(stats, devs, neighbors, global_avg, n, k, (), [*pinned, neighbors])

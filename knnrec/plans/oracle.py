@@ -296,6 +296,7 @@ def _oracle_queries() -> dict[str, str]:
         "(SELECT DISTINCT min(u) AS u, max(u) AS v FROM test GROUP BY i HAVING min(u) <> max(u)) x "
         "LEFT JOIN sims s ON x.u = s.u AND x.v = s.v")
     q["topk_neighbors"] = with_(*EXACT) + "SELECT u, v, sim, rank FROM neighbors"
+    q["topk_neighbors_bounded"] = q["topk_neighbors"]
     q["neighbor_counts"] = with_(*EXACT) + (
         "SELECT u, CAST(count(*) AS BIGINT) AS n_neighbors FROM neighbors WHERE sim <> 0 GROUP BY u")
     pred_exact = predict_sql("neighbors", "test")

@@ -41,10 +41,10 @@ from knnrec.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Intermediates read by several consumers of one query (rating view,
-# deviations, unit rows, neighbours) are persisted; the next registered query
+# deviations, unit rows, neighbours) are written out; the next registered query
 # frees them first (``release_all``). Queries with a single consumer read the
 # tables directly.
-PERSIST = "persist"
+PERSIST = "table"
 
 
 def _train(spark, sf):
@@ -199,6 +199,11 @@ def q_topk_neighbors(spark, sf):
     return _exact(spark, sf)[2].neighbors
 
 
+def q_topk_neighbors_bounded(spark, sf):
+    train, _ = _split(spark, sf)
+    return fit_exact(train, p.K, persist=PERSIST, duplicates=None, method="bounded").neighbors
+
+
 def q_neighbor_counts(spark, sf):
     return st.neighbor_counts(_exact(spark, sf)[2].neighbors)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -84,16 +85,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _pinned: list[DataFrame] = []
+_tables: list[tuple[DataFrame, str]] = []
 
 
-def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
+def write_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. Later plans start
+    from that scan: they stay small however many steps came before, and a lost
+    executor costs its tasks only."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _tables.append((table, path))
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
     """Pin an intermediate that several consumers read.
 
+    ``table``: written to the shared folder and read back (``write_table``).
     ``persist``: MEMORY_AND_DISK; a lost block is recomputed from lineage.
-    Freed by ``release`` or, with all others, by ``release_all``.
+    Both are freed by ``release`` or, with all others, by ``release_all``.
     ``checkpoint``: written to the reliable checkpoint folder, which cuts
     the lineage (for long iterative plans or flaky executors).
     ``none``: leave it lazy."""
+    if mode == "table":
+        return write_table(df)
     if mode == "persist":
         _pinned.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
@@ -107,12 +129,21 @@ def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
 
 def release(*frames: DataFrame) -> None:
     for df in frames:
-        if df is not None and df.is_cached:
+        if df is None:
+            continue
+        if df.is_cached:
             df.unpersist(blocking=False)
+        for entry in [t for t in _tables if t[0] is df]:
+            _tables.remove(entry)
+            _delete(df.sparkSession, entry[1])
 
 
 def release_all() -> None:
-    """Free everything ``materialize`` has persisted: call it when a result
-    has been written."""
+    """Free everything ``materialize`` has kept: call it when a result has
+    been written."""
     while _pinned:
         release(_pinned.pop())
+    while _tables:
+        df, path = _tables.pop()
+        if df.sparkSession.sparkContext._jsc is not None:  # a stopped session's folder is gone or its owner's
+            _delete(df.sparkSession, path)
