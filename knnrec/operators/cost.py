@@ -66,6 +66,29 @@ RATE_UNIT = 10 ** 12
 COST_UNIT = 10.0 ** 14
 
 
+LONG_MAX = (1 << 63) - 1
+LOW_BITS = 30
+
+
+def exact_sum(x: Column) -> Column:
+    """Exact sum of LONG values of any number, as a decimal: high and low bits
+    are summed as whole numbers and put together once per group."""
+    high = F.sum(F.shiftright(x, LOW_BITS)).cast("decimal(28,0)")
+    low = F.sum(x.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
+    return high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+
+
+def exact_product_sum(a: Column, b: Column) -> Column:
+    """Exact sum of LONG products: LONG arithmetic, but for the rows (as a
+    rule none) whose product does not fit."""
+    fits = F.abs(a) <= F.try_divide(F.lit(LONG_MAX).cast("double"), F.abs(b)) * F.lit(0.999)
+    fits = F.coalesce(fits, a.isNotNull() & b.isNotNull())  # b = 0
+    whole = exact_sum(F.when(fits, a * b))
+    wide = F.sum(F.when(~fits, a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast("decimal(28,0)"))
+    return F.when(whole.isNotNull() | wide.isNotNull(),
+                  F.coalesce(whole, F.lit(0).cast("decimal(38,0)")) + F.coalesce(wide, F.lit(0).cast("decimal(38,0)")))
+
+
 def usage_daily_cost(
     events: DataFrame,
     resources: Sequence[tuple[str, float, float]],
@@ -83,13 +106,12 @@ def usage_daily_cost(
     rows = [(t, round((gb * cost_gb + cpu * cost_cpu) * RATE_UNIT)) for t, gb, cpu in resources]
     rates = F.broadcast(spark.createDataFrame(rows, "event_type string, rate long"))
     priced = events.select("ts", "user_id", "event_type", "value").join(rates, "event_type", "left")
-    amount = hundredths(F.col("value")).cast("decimal(19,0)")
+    priced = priced.withColumn("amount", hundredths(F.col("value")))
     return priced.groupBy(F.to_date("ts").cast("string").alias("day"), "user_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_events"),
         F.sum(F.col("rate").isNull().cast("long")).alias("n_unpriced"),
-        (F.sum(amount).cast("double") / F.lit(100.0)).alias("usage_seconds"),
-        (F.sum((amount * F.col("rate").cast("decimal(19,0)")).cast("decimal(28,0)")).cast("double")
-         / F.lit(COST_UNIT)).alias("daily_cost"),
+        (exact_sum(F.col("amount")).cast("double") / F.lit(100.0)).alias("usage_seconds"),
+        (exact_product_sum(F.col("amount"), F.col("rate")).cast("double") / F.lit(COST_UNIT)).alias("daily_cost"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,18 @@ class KnnModel:
         release(*self.pinned)
 
 
+class Ratings(NamedTuple):
+    """What every fit over the same ratings starts from."""
+
+    user_stats: DataFrame
+    devs: DataFrame
+    unit: DataFrame
+    global_avg: Column
+    n_users: Column
+
+
 def base_frames(train: DataFrame, persist: str = "table", lo: float = RATING_LO, hi: float = RATING_HI,
-                duplicates: str | None = "avg"):
+                duplicates: str | None = "avg") -> Ratings:
     """User statistics, deviations and unit rows, each read several times.
 
     ``duplicates`` says what several rows of one (u, i) mean (see
@@ -53,7 +64,7 @@ def base_frames(train: DataFrame, persist: str = "table", lo: float = RATING_LO,
     unit = materialize(unit_ratings(devs), persist)
     global_avg = stats.agg(F.sum("total") / F.sum("n")).scalar()
     n_users = stats.agg(F.count(F.lit(1))).scalar()
-    return stats, devs, unit, global_avg, n_users
+    return Ratings(stats, devs, unit, global_avg, n_users)
 
 
 def exact_similarities(unit: DataFrame, **blocking) -> DataFrame:
@@ -86,9 +97,24 @@ def fit_exact(
     skips products that cannot reach a user's top k (``topk_join``), ``auto``
     takes the latter where most products come from items of very many raters.
     All give the same neighbours."""
+    ratings = base_frames(train, persist, lo, hi, duplicates)
+    return fit_frames(ratings, k, n_users, persist, method, sim_digits, **blocking)
+
+
+def fit_frames(
+    ratings: Ratings,
+    k: int,
+    n_users: int | None = None,
+    persist: str = "table",
+    method: str = "auto",
+    sim_digits: int = SIM_DIGITS,
+    **blocking,
+) -> KnnModel:
+    """``fit_exact`` from prepared frames, which a caller may keep for more
+    than one fit."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
-    stats, devs, unit, global_avg, n_train_users = base_frames(train, persist, lo, hi, duplicates)
+    stats, devs, unit, global_avg, n_train_users = ratings
     n = F.lit(n_users) if n_users is not None else n_train_users
     profile = item_profile(item_counts(unit))
     pinned = [stats, devs, unit]

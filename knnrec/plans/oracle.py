@@ -297,6 +297,10 @@ def _oracle_queries() -> dict[str, str]:
         "LEFT JOIN sims s ON x.u = s.u AND x.v = s.v")
     q["topk_neighbors"] = with_(*EXACT) + "SELECT u, v, sim, rank FROM neighbors"
     q["topk_neighbors_bounded"] = q["topk_neighbors"]
+    q["topk_neighbors_kept"] = q["topk_neighbors"]
+    q["similarity_point_lookup"] = with_(*EXACT) + (
+        "SELECT x.u, x.v, coalesce(s.sim, 0) AS sim FROM (SELECT min(u) AS u, max(u) AS v FROM test GROUP BY i "
+        "HAVING min(u) <> max(u) ORDER BY 1, 2 LIMIT 1) x LEFT JOIN sims s ON x.u = s.u AND x.v = s.v")
     q["neighbor_counts"] = with_(*EXACT) + (
         "SELECT u, CAST(count(*) AS BIGINT) AS n_neighbors FROM neighbors WHERE sim <> 0 GROUP BY u")
     pred_exact = predict_sql("neighbors", "test")
@@ -306,6 +310,7 @@ def _oracle_queries() -> dict[str, str]:
         "FROM wd")
     q["predict_pairs"] = with_(*EXACT, pred_exact) + (
         "SELECT u, i, r, round(prediction, 6) AS prediction FROM pred")
+    q["predict_pairs_kept"] = q["predict_pairs"]
     q["mae_exact"] = with_(*EXACT, pred_exact) + _mae("pred")
     lines = """lines AS (
   SELECT u, i, CAST(1 + floor((q - 1) / 10) AS DOUBLE) AS r FROM ratings_raw WHERE (u * 31 + i * 17) % 5 = 0)"""

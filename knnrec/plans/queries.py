@@ -6,6 +6,7 @@ results are rounded (``out``) so that they compare across engines."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,10 @@ from knnrec.plans.approximate import (
     per_part_topk, replication_sweep,
 )
 from knnrec.plans.exact import base_frames, fit_exact
-from knnrec.session import materialize
+from knnrec.plans.kept import (
+    fit_kept, load_model, load_similarities, save_model, save_ratings, save_similarities,
+)
+from knnrec.session import delete_later, ensure_checkpoint_dir, materialize
 from knnrec.sources.ratings import (
     dedup_ratings, labelled_split, parse_rating_lines, rating_lines, rating_view,
     raw_line_ratings, reject_rating_lines, split_train_test,
@@ -208,6 +212,37 @@ def q_neighbor_counts(spark, sf):
     return st.neighbor_counts(_exact(spark, sf)[2].neighbors)
 
 
+def _kept_folder(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/kept-{name}-{uuid.uuid4().hex}"
+
+
+def q_predict_pairs_kept(spark, sf):
+    """The answers of a model that was written and read back."""
+    _, test, model = _exact(spark, sf)
+    path = _kept_folder(spark, "model")
+    save_model(model, path)
+    s = score_pairs(test, load_model(spark, path))
+    return delete_later(s.select("u", "i", "r", out(F.col("prediction")).alias("prediction")), path)
+
+
+def q_topk_neighbors_kept(spark, sf):
+    """A fit over kept ratings: unit rows bucketed by item."""
+    path = _kept_folder(spark, "ratings")
+    save_ratings(_train(spark, sf), path, duplicates=None)
+    return delete_later(fit_kept(spark, path, p.K).neighbors, path)
+
+
+def q_similarity_point_lookup(spark, sf):
+    """One pair from the kept similarities (one bucket read): the two users
+    with the lowest ids that a test item has in common."""
+    train, test = _split(spark, sf)
+    pair = test.groupBy("i").agg(F.min("u").alias("u"), F.max("u").alias("v")).where("u <> v").orderBy("u", "v").first()
+    path = _kept_folder(spark, "similarities")
+    save_similarities(mirror(similarity_half(base_frames(train, PERSIST, duplicates=None).unit)), path)
+    kept = load_similarities(spark, path)
+    return delete_later(kept.of_pair(pair["u"], pair["v"]) if pair else kept.rows.limit(0), path)
+
+
 def q_weighted_deviation(spark, sf):
     _, test, model = _exact(spark, sf)
     return weighted_deviation(test, model).select("u", "i", out(F.col("wdev")).alias("wdev"))

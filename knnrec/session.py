@@ -86,6 +86,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 _pinned: list[DataFrame] = []
 _tables: list[tuple[DataFrame, str]] = []
+# Row groups are what scans can split a file into: small enough that a
+# coalesced file still feeds many tasks.
+ROW_GROUP = 8 << 20
 
 
 def write_table(df: DataFrame) -> DataFrame:
@@ -94,10 +97,14 @@ def write_table(df: DataFrame) -> DataFrame:
     executor costs its tasks only."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    _tables.append((table, path))
-    return table
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return delete_later(spark.read.schema(df.schema).parquet(path), path)
+
+
+def delete_later(df: DataFrame, path: str) -> DataFrame:
+    """``df``, whose files at ``path`` go with ``release`` or ``release_all``."""
+    _tables.append((df, path))
+    return df
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -3,7 +3,7 @@ split, duplicate policies and the text-line parser."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from knnrec.sources.tables import read_table
@@ -108,8 +108,13 @@ def _int_field(value: Column, id_type: str) -> Column:
 def _parsed_fields(lines: DataFrame, sep: str, id_type: str, lo: float, hi: float) -> DataFrame:
     """Split each line on ``sep`` (a regular expression, as in
     ``String.split``), trim the fields and try-cast the first three.
-    The reject reason is the first check that fails."""
-    parts = F.split(F.col("value"), sep)
+    The reject reason is the first check that fails. Other columns of
+    ``lines`` are kept.
+
+    The split goes through a generator of one row: no filter or projection on
+    its fields is moved below it, so a line is made and split once."""
+    once = lines.select("*", F.explode(F.array(F.split(F.col("value"), sep))).alias("_parts"))
+    parts = F.col("_parts")
     u = _int_field(F.get(parts, 0), id_type)
     i = _int_field(F.get(parts, 1), id_type)
     r = F.trim(F.get(parts, 2)).try_cast("double")
@@ -120,9 +125,7 @@ def _parsed_fields(lines: DataFrame, sep: str, id_type: str, lo: float, hi: floa
         .when(r.isNull(), F.lit("rating"))
         .when((r < lo) | (r > hi), F.lit("range"))
     )
-    return lines.select(
-        F.col("value"), u.alias("u"), i.alias("i"), r.alias("r"), reason.alias("reason")
-    )
+    return once.select(*lines.columns, u.alias("u"), i.alias("i"), r.alias("r"), reason.alias("reason"))
 
 
 def parse_rating_lines(
@@ -167,6 +170,27 @@ def read_rating_text(
     return ratings if duplicates is None else dedup_ratings(ratings, duplicates)
 
 
+def reject_rating_text(
+    spark: SparkSession, path: str, sep: str = "\t", id_type: str = "int", lo: float = RATING_LO, hi: float = RATING_HI
+) -> DataFrame:
+    """``(file, line_no, line, reason)``: the lines of text files that
+    ``read_rating_text`` drops and where they stand (from 1).
+
+    Tasks read files in blocks. Counts per block (a partial aggregate) give the
+    lines before each block, a row's place in its task the rest; the lines
+    themselves are not shuffled."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    blocks = lines.groupBy("file", "block").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    bad = _parsed_fields(lines, sep, id_type, lo, hi).where(F.col("reason").isNotNull())
+    return bad.join(blocks, ["file", "block"]).select(
+        "file", (F.col("before") + F.col("seq") - F.col("first") + 1).alias("line_no"), F.col("value").alias("line"), "reason")
+
+
 # Lines of one rating in DAMAGE_MOD are damaged, in one of these ways each
 # (fixed rule, FIXTURES.md), so rejects of every kind grow with the data.
 DAMAGE_A, DAMAGE_B, DAMAGE_MOD = 13, 7, 97

@@ -2,7 +2,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from knnrec.operators.cost import breakeven_days, budget_units, days_until_buying_wins, usage_daily_cost
+from knnrec.operators.cost import (
+    breakeven_days, budget_units, days_until_buying_wins, exact_product_sum, exact_sum, usage_daily_cost,
+)
 
 
 def test_no_break_even_without_margin(spark):
@@ -32,3 +34,16 @@ def test_unsold_parts_and_idle_suppliers_stay(spark):
     supplier = spark.createDataFrame([(7, 5000.0), (8, 1.0)], "s_suppkey long, s_acctbal double")
     got = {r.s_suppkey: r for r in budget_units(supplier, part, items, 8.0, 1536.0, 28, 4).collect()}
     assert got[7].units == 5 and got[8].units is None and got[8].budget == 1.0
+
+
+def test_sums_and_products_beyond_long_are_exact(spark):
+    big = (1 << 63) - 1
+    rows = [(1, big, 3), (1, big, 1), (1, -5, 7), (2, -big, 10 ** 9), (2, 12345, -(10 ** 12)), (3, None, 4), (3, 4, None), (4, 0, 0), (4, 9, 0), (5, big, 1)] + [(6, big, 1)] * 5
+    df = spark.createDataFrame(rows, "g long, a long, b long")
+    got = {r.g: (r.s, r.p) for r in df.groupBy("g").agg(exact_sum(F.col("a")).alias("s"), exact_product_sum(F.col("a"), F.col("b")).alias("p")).collect()}
+    for g in range(1, 7):
+        mine = [(a, b) for h, a, b in rows if h == g]
+        total = [a for a, _ in mine if a is not None]
+        product = [a * b for a, b in mine if a is not None and b is not None]
+        assert got[g][0] == sum(total)
+        assert got[g][1] == (sum(product) if product else None)

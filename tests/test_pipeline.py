@@ -310,13 +310,28 @@ def test_rounding_of_large_amounts(spark):
 def test_released_frames_are_not_cached(spark):
     from knnrec.session import release_all
 
-    model = fit_exact(ratings_df(spark, TINY), 2)
+    model = fit_exact(ratings_df(spark, TINY), 2, persist="persist")
     model.neighbors.collect()
     assert model.neighbors.is_cached
     release_all()
     assert not model.neighbors.is_cached
 
 
+def test_written_intermediates_cut_the_plan_and_are_deleted(spark):
+    import os
+
+    from knnrec.session import release_all
+
+    release_all()
+    model = fit_exact(ratings_df(spark, TINY), 2)
+    folders = [f.rsplit("/", 1)[0].removeprefix("file:").replace("///", "/") for f in model.neighbors.inputFiles()]
+    assert folders and all(os.path.isdir(f) for f in folders)
+    plan = score_pairs(ratings_df(spark, TINY).select("u", "i"), model)._jdf.queryExecution().toString()
+    assert len(plan) < 60_000
+    model.unpersist()
+    assert not any(os.path.isdir(f) for f in folders)
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     from types import SimpleNamespace
 

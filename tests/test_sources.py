@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from knnrec.sources.ratings import (
     dedup_ratings, labelled_split, parse_rating_lines, rating_lines, rating_view,
-    read_rating_text, reject_rating_lines, split_train_test,
+    read_rating_text, reject_rating_lines, reject_rating_text, split_train_test,
 )
 from tests.conftest import ratings_df
 
@@ -87,3 +87,31 @@ def test_rating_view_and_split_sizes(spark):
     assert labelled_split(ratings).where(F.col("split") == "test").count() == 1081
     # every test user has train rows at this scale
     assert test.join(train, "u", "left_anti").count() == 0
+
+
+def test_rejects_name_file_and_line(spark, tmp_path):
+    """Several files, read in many blocks."""
+    want = set()
+    for name, n in (("a.tsv", 4000), ("b.tsv", 7), ("c.tsv", 1)):
+        rows = []
+        for k in range(1, n + 1):
+            bad = k % 137 == 5 or n == 1
+            rows.append(f"{k}\tx{k}\t3" if bad else f"{k}\t{k % 9 + 1}\t3")
+            if bad:
+                want.add((name, k, rows[-1], "item"))
+        (tmp_path / name).write_text("\n".join(rows) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "16")
+        got = {(os.path.basename(r.file), r.line_no, r.line, r.reason) for r in reject_rating_text(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want and len(want) > 25
+
+
+def test_a_line_is_split_once(spark):
+    df = parse_rating_lines(rating_lines(rating_view(spark, SF)))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
