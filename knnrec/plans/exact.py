@@ -121,8 +121,8 @@ def fit_frames(
     if method == "bounded" or (method == "auto" and profile.skewed(blocking.get("block_rows", CELL_ROWS))):
         sims = topk_join(unit, k, sim_digits, persist, **blocking).similarities
     else:
-        half = similarity_half(unit, digits=sim_digits, largest=profile.largest, **blocking)
-        pinned.append(materialize(half, persist))
+        half = materialize(similarity_half(unit, digits=sim_digits, largest=profile.largest, **blocking), persist)
+        pinned.append(half)
         sims = mirror(half)
     neighbors = materialize(slot_topk(sims, k, n), persist)
     return KnnModel(stats, devs, neighbors, global_avg, n, k, (), [*pinned, neighbors])

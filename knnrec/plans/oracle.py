@@ -100,18 +100,27 @@ pred AS (
   FROM wd CROSS JOIN gstats g)"""
 
 
+def part_order_sql(partitions: int) -> str:
+    """All parts of every user in order: ``(start + j step) mod q`` for each j,
+    q the smallest prime >= partitions."""
+    q = next(n for n in range(max(partitions, 2), 10 ** 9) if all(n % d for d in range(2, n)))
+    number = "CAST('0x' || substr(md5('1337:' || CAST(u AS VARCHAR)), {at}, 15) AS BIGINT)"
+    return f"""
+part_keys AS (
+  SELECT u, {number.format(at=1)} % {q} AS start, {number.format(at=17)} % {q - 1} + 1 AS step FROM user_stats),
+ranked_parts AS (
+  SELECT u, part, row_number() OVER (PARTITION BY u ORDER BY j) AS rk FROM (
+    SELECT u, j, (start + j * step) % {q} AS part FROM part_keys CROSS JOIN range({q}) x(j)) y
+  WHERE part < {partitions})""".strip()
+
+
 def approx_sql(partitions: int, levels: tuple[int, ...], k: int) -> str:
     """Approximate neighbours per level: ``assign``, ``cand``, ``pp_top``,
     ``approx_nb(level, u, v, sim, rank)``."""
     lv = ", ".join(f"({min(x, partitions)})" for x in sorted(set(levels)))
     return f"""
-parts AS (SELECT CAST(range AS BIGINT) AS part FROM range({partitions})),
 levels AS (SELECT CAST(level AS BIGINT) AS level FROM (VALUES {lv}) t(level)),
-ranked_parts AS (
-  SELECT s.u, pt.part, row_number() OVER (
-      PARTITION BY s.u
-      ORDER BY md5(concat('1337:', CAST(s.u AS VARCHAR), ':', CAST(pt.part AS VARCHAR))), pt.part) AS rk
-  FROM user_stats s CROSS JOIN parts pt),
+{part_order_sql(partitions)},
 assign AS (
   SELECT l.level, r.u, r.part FROM ranked_parts r JOIN levels l ON r.rk <= l.level),
 cand AS (
@@ -188,14 +197,8 @@ SWEEP = approx_sql(p.PARTITIONS, p.LEVELS, p.K)
 
 def _assign_single() -> str:
     return f"""
-parts AS (SELECT CAST(range AS BIGINT) AS part FROM range({p.PARTITIONS})),
-assign AS (
-  SELECT u, part, CAST(rk AS BIGINT) AS rank FROM (
-    SELECT s.u, pt.part, row_number() OVER (
-        PARTITION BY s.u
-        ORDER BY md5(concat('1337:', CAST(s.u AS VARCHAR), ':', CAST(pt.part AS VARCHAR))), pt.part) AS rk
-    FROM user_stats s CROSS JOIN parts pt) x
-  WHERE rk <= {p.REPLICATION})"""
+{part_order_sql(p.PARTITIONS)},
+assign AS (SELECT u, part, CAST(rk AS BIGINT) AS rank FROM ranked_parts WHERE rk <= {p.REPLICATION})"""
 
 
 def _rate(gb: float, cpu: float) -> str:
@@ -367,6 +370,7 @@ SELECT u, i, round(prediction, 6) AS prediction, CAST(rn AS BIGINT) AS rank FROM
   SELECT u, i, prediction, row_number() OVER (PARTITION BY u ORDER BY {snap_sql('prediction')} DESC, i) AS rn
   FROM sa_pred x WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.u = x.u AND t.i = x.i)) y
 WHERE rn <= {p.TOP_N}"""
+    q["recommend_top_n_bounded"] = q["recommend_top_n"]
     q["report_json"] = with_(*EXACT, pred_exact) + f""",
 best AS (SELECT u, v, sim FROM neighbors WHERE rank = 1 ORDER BY sim DESC, u LIMIT 1),
 shape AS (

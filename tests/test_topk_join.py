@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from knnrec.operators.neighbors import slot_topk
+from knnrec.operators.predict import bounded_items, recommend_bounded, recommend_top_n, score_all_items
 from knnrec.operators.similarity import mirror, similarity_half
 from knnrec.operators.topk_join import item_counts, item_profile, topk_join
 from knnrec.plans.exact import base_frames, fit_exact
@@ -82,3 +83,31 @@ def test_fit_by_each_method(spark):
     assert lists[0] == lists[1] == lists[2] and lists[0]
     with pytest.raises(ValueError, match="method"):
         fit_exact(train, 4, method="fast")
+
+
+def dense_ratings(n_users=40, n_items=300, seed=9):
+    rng = np.random.default_rng(seed)
+    return [(u, int(i), float(rng.integers(1, 6))) for u in range(n_users) for i in rng.choice(n_items, 150, replace=False)]
+
+
+@pytest.mark.parametrize("rows, n", [(dense_ratings(), 5), (zipf_ratings(), 3), (FLAT, 50)])
+def test_bounded_recommendations_equal_the_matrix(spark, rows, n):
+    train = ratings_df(spark, rows)
+    model = fit_exact(train, 4)
+    matrix = score_all_items(model)
+    cell = lambda r: (r.u, r.i, round(r.prediction, 9), r["rank"])
+    want = sorted(map(cell, recommend_top_n(matrix, train, n).collect()))
+    got = sorted(map(cell, recommend_bounded(model, train, n).collect()))
+    assert got == want
+    if len(rows) > 5000:
+        wanted = bounded_items(model, train, n).count()
+        assert wanted < matrix.count() / 3
+
+
+def test_bounded_recommendations_follow_negative_neighbours(spark):
+    train = ratings_df(spark, random_ratings(6, 9, 0.6, 4))
+    model = fit_exact(train, 5)
+    assert model.neighbors.where("sim < 0").count() > 0
+    cell = lambda r: (r.u, r.i, round(r.prediction, 9), r["rank"])
+    want = sorted(map(cell, recommend_top_n(score_all_items(model), train, 2).collect()))
+    assert sorted(map(cell, recommend_bounded(model, train, 2).collect())) == want
