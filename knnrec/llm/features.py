@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.llm.common import Words, passes
+from knnrec.llm.common import Words, passes, stage
 
 #: Byte classes whose share of a text is a feature.
 CLASSES = (
@@ -84,7 +84,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """At most ``per_class`` documents of every label value, and the number of
     labelled rows of each value. Ids fall into ``per_class`` buckets by hash;
     each gives its smallest hash. Conflicting labels of an id: the smallest
-    value counts. Rows with a null id or label are not learned from."""
+    value counts; of several texts of an id the one with the smallest hash is
+    learned from. Rows with a null id or label are not learned from."""
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -100,7 +101,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         totals[row["label"]] = totals.get(row["label"], 0) + row["n"]
     spark = docs.sparkSession
     ids = spark.createDataFrame([(r["doc_id"], r["label"]) for r in rows], "doc_id long, label int")
-    sample = inputs(docs).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    found = inputs(docs).join(F.broadcast(ids), "doc_id")
+    # of several rows of an id: the one with the smallest hash of text and size
+    one = F.min_by(F.struct("text", "n_chars", "label"), F.xxhash64("text", "n_chars"))
+    sample = stage(found.groupBy("doc_id").agg(one.alias("x")).select("doc_id", "x.*"), "labelled-sample")
     return sample, totals
 
 

@@ -41,15 +41,19 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def learn(train: DataFrame, samples: int = 400, excerpt: int = 500) -> dict[str, bytes]:
+def learn(train: DataFrame, samples: int = 400, excerpt: int = 500, languages: int = 256) -> dict[str, bytes]:
     """Dictionary content per non-null lang: excerpts (``excerpt`` characters)
     of at most ``samples`` different texts. Texts fall into ``samples`` buckets
     by hash and the smallest hash of each bucket is taken, so copies count
     once, whatever their number. An excerpt starts anywhere in the whole text,
     as the hash says, so shared openings do not fill the dictionary; equal
-    excerpts count once. The driver holds samples x excerpt
-    characters per language."""
-    rows = train.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
+    excerpts count once. At most ``languages`` values of ``lang`` are learned, those
+    with most texts (ties: the first names), so a column of many stray values
+    stays within bounds. The driver holds samples x excerpt characters per
+    language."""
+    named = train.where("lang IS NOT NULL AND text IS NOT NULL")
+    common = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    rows = named.select("lang", "text", F.xxhash64("text").alias("h")).join(F.broadcast(common), "lang", "left_semi")
     chosen = rows.groupBy("lang", F.pmod("h", F.lit(samples)).alias("b")).agg(F.min("h").alias("h"))
     start = F.pmod(F.xxhash64("h", F.lit(11)), F.greatest(F.length("text") - excerpt, F.lit(0)) + 1) + 1
     excerpts = (

@@ -130,6 +130,26 @@ def test_dictionaries_are_not_filled_by_openings(spark):
     assert sorted(langid.learn(table(spark, short))["en"].split()) == sorted(b"a short text another one".split())
 
 
+def test_stray_language_values_stay_within_bounds(spark):
+    rows = [(k, f"some words in {'english' if k % 2 else 'deutsch'} {k}", "en" if k % 2 else "de", "s", 1) for k in range(40)]
+    rows += [(100 + k, f"some stray text {k}", f"x{k}", "s", 1) for k in range(30)]
+    docs = table(spark, rows)
+    assert set(langid.learn(docs, languages=2)) == {"en", "de"}
+    assert set(langid.learn(docs, languages=4)) == {"en", "de", "x0", "x1"} and len(langid.learn(docs)) == 32
+
+
+def test_repeated_ids_have_a_defined_sample(spark):
+    """Of several texts of an id the same one is learned from, however the
+    table is dealt."""
+    rows = [(k, f"text {k} version {v} " * (v + 1), "en", "s", v) for k in range(60) for v in range(4)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], LABELS)
+    picked = []
+    for n in (1, 7):
+        sample, _ = features.labelled_sample(table(spark, rows).repartition(n), labels, "quality", 50)
+        picked.append(sorted(map(tuple, sample.collect())))
+    assert picked[0] == picked[1] and len({r[0] for r in picked[0]}) == len(picked[0]) > 20
+
+
 @pytest.fixture(scope="module")
 def edges(spark):
     labels = [(100 + k, k % 2, int(k % 5 == 0)) for k in range(40)] + [(None, 1, 0), (101, None, None), (9999, 0, 1), (100, 1, 1)]
