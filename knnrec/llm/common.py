@@ -23,7 +23,7 @@ PASS_BYTES = 2 << 20
 #: Rows per Arrow batch: long texts must not add up to a huge batch.
 ARROW_ROWS = 500
 
-_STAGED: list[str] = []
+_STAGED: list[tuple[DataFrame, str]] = []
 
 
 def prepare(spark: SparkSession) -> None:
@@ -51,18 +51,29 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _STAGED.append((table, path))
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        for entry in [t for t in _STAGED if t[0] is df]:
+            _STAGED.remove(entry)
+            _delete(df.sparkSession, entry[1])
 
 
 def drop_stages(spark: SparkSession, keep: int = 0) -> None:
     """Delete the tables staged after the first ``keep`` ones; call it once
     their results are written."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while len(_STAGED) > keep:
-        path = hadoop(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _STAGED.pop()[1])
 
 
 def staged_count() -> int:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knnrec.llm.common import Words, fold, mix64, passes, prepare, stage, task_id
+from knnrec.llm.common import Words, fold, mix64, passes, prepare, stage, task_id, unstage
 
 CONTEXTS = 8
 BURN_IN, SAMPLES = 3, 3
@@ -146,6 +146,67 @@ def read_chunks(docs: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- sampling
 
 
+class RowRandom:
+    """Random numbers that follow from each row's own key, and from how often
+    the stream was asked; not from the rows beside it. A task that is run again,
+    or is dealt other rows, draws the same. Stands for a numpy Generator whose
+    results have one number per row."""
+
+    def __init__(self, key: np.ndarray, seed: int):
+        self.key = mix64(key ^ mix64(np.full(1, seed & (2**64 - 1), np.uint64)))
+        self.asked = 0
+
+    def _bits(self, part: int = 0) -> np.ndarray:
+        turn = np.array([((self.asked << 20) + part + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)], np.uint64)
+        return mix64(self.key + turn)
+
+    def _uniform(self, part: int = 0) -> np.ndarray:
+        return ((self._bits(part) >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+
+    def take(self, rows: np.ndarray) -> RowRandom:
+        """The stream of some of the rows."""
+        self.asked += 1
+        out = RowRandom.__new__(RowRandom)
+        out.key, out.asked = mix64(self.key[rows] + np.uint64(self.asked)), 0
+        return out
+
+    def random(self, n: int) -> np.ndarray:
+        self.asked += 1
+        return self._uniform()
+
+    def gamma(self, shape: np.ndarray) -> np.ndarray:
+        """Marsaglia and Tsang's rejection for shape + 1, brought down."""
+        self.asked += 1
+        d = shape + 2.0 / 3.0
+        c, out, open_, part = 1 / np.sqrt(9 * d), np.zeros(len(shape)), np.arange(len(shape)), 1
+        lift = self._uniform() ** (1 / shape)
+        while len(open_):
+            u, a, b = (self._uniform(part + j)[open_] for j in range(3))
+            x = np.sqrt(-2 * np.log(a)) * np.cos(2 * np.pi * b)
+            v = (1 + c[open_] * x) ** 3
+            good = v > 0
+            good[good] = np.log(u[good]) < x[good] ** 2 / 2 + d[open_][good] * (1 - v[good] + np.log(v[good]))
+            out[open_[good]] = (d[open_] * v)[good]
+            open_, part = open_[~good], part + 3
+        return out * lift
+
+    def _each(self, draw) -> np.ndarray:
+        """One generator a row: for the few rows that need a rare draw."""
+        self.asked += 1
+        keys = self._bits()
+        return np.array([draw(np.random.Generator(np.random.Philox(key=int(k))), i) for i, k in enumerate(keys)], dtype=np.int64)
+
+    def binomial(self, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return self._each(lambda g, i: g.binomial(n[i], p[i]))
+
+    def poisson(self, mean: np.ndarray) -> np.ndarray:
+        return self._each(lambda g, i: g.poisson(mean[i]))
+
+
+def some(rng, rows: np.ndarray):
+    return rng.take(rows) if isinstance(rng, RowRandom) else rng
+
+
 class Seating:
     """Table sizes of many dishes: ``size[i, k]`` occurs ``many[i, k]`` times.
     Tables of equal size are exchangeable, so this is all a restaurant needs.
@@ -237,15 +298,16 @@ def draw_tables(customers: np.ndarray, weight: np.ndarray, discount: float, rng)
     being the weight of a new table."""
     tables = np.ones(len(customers), np.int64)
     stirling, below, log_weight = log_seatings(discount), 1, np.log(weight)
+    drawn = rng.random(len(customers))
     for upto in (4, 16, 64, EXACT):
         t = np.arange(1, upto + 1)
         group = np.flatnonzero((customers > below) & (customers <= upto))
         for a in range(0, len(group), (1 << 20) // upto):
             rows = group[a : a + (1 << 20) // upto]
-            tables[rows] = _pick_tables(stirling[customers[rows], 1 : upto + 1] + t * log_weight[rows, None], rng.random((len(rows), 1)))
+            tables[rows] = _pick_tables(stirling[customers[rows], 1 : upto + 1] + t * log_weight[rows, None], drawn[rows, None])
         below = upto
     rows = np.flatnonzero(customers > EXACT)
-    tables[rows] = _draw_many(customers[rows].astype(float), weight[rows].astype(float), discount, rng)
+    tables[rows] = _draw_many(customers[rows].astype(float), weight[rows].astype(float), discount, some(rng, rows))
     return tables
 
 
@@ -292,10 +354,10 @@ def sample_seatings(counts: np.ndarray, totals: dict, rng) -> tuple[np.ndarray,
     for r in range(BURN_IN + SAMPLES):
         for u in range(CONTEXTS):
             rows = np.flatnonzero(counts[:, u])
-            tables[rows, u] = draw_tables(counts[rows, u], open_[u] * p0[rows], d1, rng)
+            tables[rows, u] = draw_tables(counts[rows, u], open_[u] * p0[rows], d1, some(rng, rows))
         customers = tables.sum(axis=1)
         rows = np.flatnonzero(customers)
-        parent[rows] = draw_tables(customers[rows], np.full(len(rows), new_parent), d0, rng)
+        parent[rows] = draw_tables(customers[rows], np.full(len(rows), new_parent), d0, some(rng, rows))
         p0 = np.maximum(rng.gamma(customers - d0 * parent + new_parent), 1e-200) / seats
         if r >= BURN_IN:
             kept_t[r - BURN_IN], kept_r[r - BURN_IN] = tables, parent
@@ -315,15 +377,15 @@ def large_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.T
 
 
 def seat_words(vocabulary: DataFrame, totals: dict, seed: int) -> DataFrame:
-    """``vocabulary`` with the sampled tables of every word. A word's random
-    numbers depend on its neighbours in the table, which is a written one."""
+    """``vocabulary`` with the sampled tables of every word, whose random numbers
+    are its own."""
     added = [c for cols in TABLES for c in cols] + PARENT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in large_batches(batches, 40_000):
             counts = np.stack([t[c].to_numpy() for c in COUNTS], axis=1)
             word = t["word"].to_numpy()
-            rng = np.random.default_rng((seed, int(word[0].view(np.uint64)), len(word)))
+            rng = RowRandom(word.view(np.uint64), seed)
             kept_t, kept_r = sample_seatings(counts, totals, rng)
             columns = [t["word"].combine_chunks(), *(t[c].combine_chunks() for c in COUNTS)]
             columns += [pa.array(kept_t[s, :, u].copy()) for s in range(SAMPLES) for u in range(CONTEXTS)]
@@ -337,7 +399,7 @@ CLASS_P = [f"p{u}" for u in range(CONTEXTS)]
 PAIR_SEATS = "context long, word long, class int, tables long, drawn long, seen float"
 
 
-def seat_pairs(pairs: DataFrame, contexts: DataFrame, words: DataFrame, discount: float, seed: tuple) -> DataFrame:
+def seat_pairs(pairs: DataFrame, contexts: DataFrame, words: DataFrame, discount: float, seed: int) -> DataFrame:
     """All customers of every pair (context, word, c) seated anew, ``SAMPLES``
     times, given the contexts' (served, open: tables) and the words' class
     probabilities. tables: of the first time, drawn: of all; seen: what the
@@ -348,7 +410,7 @@ def seat_pairs(pairs: DataFrame, contexts: DataFrame, words: DataFrame, discount
             context, word, c = (t[k].to_numpy() for k in ("context", "word", "c"))
             of = context_of(context.view(np.uint64))
             p = np.stack([t[k].to_numpy() for k in CLASS_P], axis=1)[np.arange(len(c)), of]
-            rng = np.random.default_rng((*seed, *(int(x[0].view(np.uint64)) for x in (context, word)), len(c)))
+            rng = RowRandom(mix64(context.view(np.uint64)) + word.view(np.uint64), seed)
             weight = (STRENGTH + discount * t["open"].to_numpy()) * p
             tables = np.stack([draw_tables(c, weight, discount, rng) for _ in range(SAMPLES)])
             drawn = tables.sum(axis=0)
@@ -636,13 +698,18 @@ def score(docs: DataFrame, seed: int = 5) -> DataFrame:
     facts = words.agg(F.count(F.lit(1)).alias("words"), F.sum("total").alias("tokens"), F.sum("guess").alias("guess")).first()
     n_train, n_words = facts["tokens"] or 0, facts["words"]
     probabilities = words.select("word", *((F.col("guess") / F.lit(facts["guess"] or 1.0)).alias(c) for c in CLASS_P))
+    superseded: list[DataFrame] = []
     for sweep in range(SWEEPS):
-        seats = stage(seat_pairs(pairs, contexts, probabilities, d2, (seed, sweep)), "lm-pair-seats")
+        seats = stage(seat_pairs(pairs, contexts, probabilities, d2, 1000 * seed + 2 * sweep), "lm-pair-seats")
         tables = seats.groupBy("context").agg(F.sum("tables").cast("double").alias("open"), F.sum("drawn").alias("drawn"))
-        contexts = stage(contexts.select("context", "served").join(tables, "context"), "lm-contexts")
+        earlier, contexts = contexts, stage(contexts.select("context", "served").join(tables, "context"), "lm-contexts")
         own = (F.sum(F.when(F.col("class") == u, F.col("tables")).otherwise(0)).alias(c) for u, c in enumerate(COUNTS))
-        seated, model = seat_classes(stage(seats.groupBy("word").agg(*own), "lm-vocabulary"), n_words, seed)
+        vocabulary = stage(seats.groupBy("word").agg(*own), "lm-vocabulary")
+        seated, model = seat_classes(vocabulary, n_words, 1000 * seed + 2 * sweep + 1)
+        unstage(earlier, vocabulary, *superseded)  # written anew above
+        superseded = [seats, seated]
         probabilities = class_probabilities(seated, model)
+    unstage(pairs)
     backoff = (F.lit(STRENGTH) + F.lit(d2) * F.col("drawn") / SAMPLES) / (F.lit(STRENGTH) + F.col("served"))
     facts_of = entries.select("chunk", F.col("id").alias("word"), F.col("n").alias("place"))
     facts_of = facts_of.join(word_facts(seated).join(words.select("word", "total"), "word"), "word", "left")

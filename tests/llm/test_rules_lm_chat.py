@@ -149,6 +149,36 @@ def test_language_model_beats_the_base(spark):
     assert all(abs(again[r["doc_id"]] - r["score"]) < 0.02 * abs(r["score"]) for r in got)
 
 
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark):
+    """8 against 13 and 61 partitions: the same draws, row by row."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300")
+    before, scores = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (8, 13, 61):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            scores.append({r["doc_id"]: r["score"] for r in lm_hpy.score(docs.repartition(n)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys()
+        assert all(abs(other[k] - v) < 1e-6 * abs(v) for k, v in scores[0].items())
+
+
+def test_row_streams_are_uniform_and_gamma():
+    rng = lm_hpy.RowRandom(np.arange(100_000, dtype=np.uint64), 3)
+    u = rng.random(100_000)
+    assert abs(u.mean() - 0.5) < 0.01 and abs(u.var() - 1 / 12) < 0.002 and 0 < u.min() and u.max() < 1
+    for shape in (0.1, 1.0, 40.0):
+        g = rng.gamma(np.full(100_000, shape))
+        assert abs(g.mean() / shape - 1) < 0.03 and abs(g.var() / shape - 1) < 0.05
+    # a row's numbers are its own
+    part = np.arange(500, 900)
+    a, b = (lm_hpy.RowRandom(np.arange(n, dtype=np.uint64) + k, 9) for n, k in ((1000, 0), (400, 500)))
+    assert (a.gamma(np.full(1000, 2.5))[part] == b.gamma(np.full(400, 2.5))).all()
+    c, w = np.full(1000, 700), np.full(1000, 4.0)
+    assert (lm_hpy.draw_tables(c, w, 0.6, a)[part] == lm_hpy.draw_tables(c[part], w[part], 0.6, b)).all()
+
+
 def test_contexts_are_the_previous_words(spark):
     """Each of 200 words is followed by one of its own: held-out texts of the
     chain are foreseen, the same words in another order are not."""
