@@ -22,7 +22,7 @@ def test_entry_contract(spark):
     queries, oracle = se.queries(), se.oracle_sql()
     from knnrec.plans.queries import QUERIES
 
-    assert len(QUERIES) == 47 and set(QUERIES) <= set(queries) and set(QUERIES) <= set(oracle) <= set(queries)
+    assert len(QUERIES) == 52 and set(QUERIES) <= set(queries) and set(QUERIES) <= set(oracle) <= set(queries)
     df = se.entry(spark)
     assert df.columns == ["mae", "n_test"]
     assert df.count() == 1
