@@ -24,6 +24,11 @@ from knnrec.llm.common import grouped, mix64, prepare, stage
 from knnrec.llm.components import components, grid
 
 
+#: Rows of a bucket that are one block: a bucket of n rows sends each vector to
+#: n / BLOCK cells. A cell compares up to 2 x BLOCK rows, TILE of them at once.
+BLOCK, TILE = 3000, 500
+
+
 def projections(dim: int, tables: int, hashes: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng((seed, dim))
     return rng.normal(size=(dim, tables * hashes)), rng.uniform(0, width, size=tables * hashes)
@@ -90,14 +95,18 @@ def compare(cells: DataFrame, similarity: float) -> DataFrame:
     def solve(g: dict[str, np.ndarray]) -> tuple[list, list, list]:
         e, buckets, rep, copies, side = g["e"], g["buckets"], g["rep"], g["copies"], g["side"]
         table = int(g["table"][0])
-        linked = e @ e.T >= similarity
+        linked = np.empty((len(rep), len(rep)), dtype=bool)
+        for lo in range(0, len(rep), TILE):  # no matrix of a whole cell's cosines
+            linked[lo : lo + TILE] = e[lo : lo + TILE] @ e.T >= similarity
         if g["cell_a"][0] != g["cell_b"][0]:
             linked &= side[:, None] != side[None, :]
         np.fill_diagonal(linked, False)
-        new = linked.copy()
-        for t in range(table):  # counted in an earlier table already
-            new &= buckets[:, None, t] != buckets[None, :, t]
-        n = new @ copies
+        n = np.empty(len(rep), dtype=np.int64)
+        for lo in range(0, len(rep), TILE):
+            new = linked[lo : lo + TILE].copy()
+            for t in range(table):  # counted in an earlier table already
+                new &= buckets[lo : lo + TILE, None, t] != buckets[None, :, t]
+            n[lo : lo + TILE] = new @ copies
         a, b, seen = [], [], np.zeros(len(rep), dtype=bool)
         for root in np.flatnonzero(linked.any(axis=1)):
             frontier = [] if seen[root] else [root]
@@ -132,7 +141,7 @@ def compare(cells: DataFrame, similarity: float) -> DataFrame:
 
 def near_duplicates(
     vectors: DataFrame, similarity: float = 0.93, tables: int = 24, hashes: int = 10, width: float = 1.5,
-    block: int = 1000, seed: int = 11,
+    block: int = BLOCK, seed: int = 11,
 ) -> DataFrame:
     """One row per vec_id: n_links (other vectors of the same non-null label
     with cosine >= ``similarity``), component_id (smallest vec_id reachable),
