@@ -20,7 +20,7 @@ from knnrec.operators.neighbors import merge_topk
 from knnrec.operators.normalize import normalized_deviations, unit_ratings, user_norms
 from knnrec.operators.partition import assign_partitions, partition_sizes, ranked_parts, user_partitions
 from knnrec.operators.predict import (
-    recommend_bounded, recommend_top_n, score_all_items, score_pairs, weighted_deviation,
+    recommend, score_all_items, score_pairs, weighted_deviation,
 )
 from knnrec.operators.similarity import (
     mirror, similarity_for_pairs, similarity_for_users, similarity_half, sparse_matmul,
@@ -360,13 +360,13 @@ def q_score_all_items(spark, sf):
 
 def q_recommend_top_n_bounded(spark, sf):
     train, _, model = _exact(spark, sf)
-    rec = recommend_bounded(model, train, p.TOP_N)
+    rec = recommend(model, train, p.TOP_N, "bounded")
     return rec.select("u", "i", out(F.col("prediction")).alias("prediction"), "rank")
 
 
 def q_recommend_top_n(spark, sf):
     train, _, model = _exact(spark, sf)
-    rec = recommend_top_n(score_all_items(model), train, p.TOP_N)
+    rec = recommend(model, train, p.TOP_N)
     return rec.select("u", "i", out(F.col("prediction")).alias("prediction"), "rank")
 
 

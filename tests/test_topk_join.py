@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from knnrec.operators.neighbors import slot_topk
-from knnrec.operators.predict import bounded_items, recommend_bounded, recommend_top_n, score_all_items
+from knnrec.operators.predict import bounded_items, recommend, recommend_bounded, recommend_top_n, score_all_items
 from knnrec.operators.similarity import mirror, similarity_half
 from knnrec.operators.topk_join import item_counts, item_profile, topk_join
 from knnrec.plans.exact import base_frames, fit_exact
@@ -110,4 +110,7 @@ def test_bounded_recommendations_follow_negative_neighbours(spark):
     assert model.neighbors.where("sim < 0").count() > 0
     cell = lambda r: (r.u, r.i, round(r.prediction, 9), r["rank"])
     want = sorted(map(cell, recommend_top_n(score_all_items(model), train, 2).collect()))
-    assert sorted(map(cell, recommend_bounded(model, train, 2).collect())) == want
+    for method in ("bounded", "matrix", "auto"):
+        assert sorted(map(cell, recommend(model, train, 2, method).collect())) == want
+    with pytest.raises(ValueError, match="method"):
+        recommend(model, train, 2, "fast")
