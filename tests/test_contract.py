@@ -29,6 +29,9 @@ def test_entry_contract(spark):
 
 
 def test_oracle_columns_match_query_columns(spark):
+    """Of the queries beside those that test_oracle compares whole."""
+    from knnrec.plans.queries import QUERIES
+
     se = _entry_module()
     con = duckdb.connect()
     sf = "/root/testdata/sf0.001"
@@ -37,6 +40,8 @@ def test_oracle_columns_match_query_columns(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf, t)}')")
     for name, sql in se.oracle_sql().items():
+        if name in QUERIES:
+            continue
         spark_cols = sorted(se.queries()[name](spark, sf).columns)
         duck_cols = sorted(con.sql(f"SELECT * FROM ({sql}) LIMIT 0").columns)
         assert spark_cols == duck_cols, name
