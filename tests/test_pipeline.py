@@ -217,6 +217,19 @@ def test_sparse_matmul_matches_numpy(spark):
     assert got == want
 
 
+def test_sparse_matmul_shuffles_the_left_side_and_not_the_products(spark):
+    # 40 rows x 3 hot keys, and 3 keys x 30 columns: 3,600 products
+    a = spark.range(120).selectExpr("id DIV 3 AS row", "id % 3 AS k", "CAST(id AS DOUBLE) AS val")
+    b = spark.range(90).selectExpr("id % 3 AS k", "id DIV 3 AS col", "1D AS val")
+    product = sparse_matmul(a, b, block_rows=2)
+    plan = product._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(row#") == 1 and "col#" not in "".join(
+        line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    got = as_dict(product, ["row", "col"], "val")
+    assert got == as_dict(sparse_matmul(a, b, small=0, block_rows=2), ["row", "col"], "val")
+    assert len(got) == 1200
+
+
 def test_dataset_shape_and_sums(spark):
     train = ratings_df(spark, TINY)
     shape = st.dataset_shape(train).first()
