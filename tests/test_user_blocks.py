@@ -1,6 +1,7 @@
 """Similarities made in blocks of users, against pairs that are shuffled."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from knnrec.operators import user_blocks
 from knnrec.operators.neighbors import slot_topk
@@ -29,6 +30,15 @@ def test_blocks_give_the_lists_of_all_pairs(unit, monkeypatch, blocks, block_row
         assert rows_of(got) == rows_of(slot_topk(pairs, k, n))
 
 
+def test_rows_without_a_weight_or_an_item(unit):
+    odd = unit.withColumn("w", F.when((F.col("u") + F.col("i")) % 7 == 0, None).when(
+        (F.col("u") == 3) & (F.col("i") % 2 == 0), float("nan")).otherwise(F.col("w")))
+    odd = odd.withColumn("i", F.when(F.col("i") != 5, F.col("i")))
+    want = slot_topk(mirror(similarity_half(odd)), 4, 60)
+    text = lambda df: sorted(map(repr, rows_of(df)))  # noqa: E731  (NaN does not equal itself)
+    assert text(user_blocks.block_topk(odd, 4, 60, 0, blocks=3)) == text(want)
+
+
 def test_a_fit_shuffles_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(user_blocks, "BLOCK_PRODUCTS", 50)
     train = ratings_df(spark, random_ratings(40, 20, 0.3, 8))
