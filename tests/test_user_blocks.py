@@ -55,3 +55,13 @@ def test_blocks_grow_with_the_products():
 def test_no_ratings(spark):
     none = spark.createDataFrame([], "u long, i long, w double")
     assert user_blocks.block_topk(none, 3, 0, 0).count() == 0
+
+
+@pytest.mark.parametrize("blocks, block_rows, held", [(1, 2_000, 2_000_000), (9, 4, 50), (9, 2, 1)])
+def test_all_similarities_without_a_shuffle_of_pairs(unit, monkeypatch, blocks, block_rows, held):
+    monkeypatch.setattr(user_blocks, "HELD_PRODUCTS", held)
+    got = user_blocks.all_similarities(unit, block_rows=block_rows, blocks=blocks)
+    half = user_blocks.all_similarities(unit, half=True, block_rows=block_rows, blocks=blocks)
+    assert rows_of(got) == rows_of(user_blocks.turned(half)) == rows_of(mirror(similarity_half(unit)))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("(u#" in x and " v#" in x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
