@@ -114,3 +114,12 @@ def test_bounded_recommendations_follow_negative_neighbours(spark):
         assert sorted(map(cell, recommend(model, train, 2, method).collect())) == want
     with pytest.raises(ValueError, match="method"):
         recommend(model, train, 2, "fast")
+
+
+def test_recommendations_shuffle_lists_and_no_contributions(spark):
+    train = ratings_df(spark, random_ratings(40, 20, 0.3, 8))
+    model = fit_exact(train, 3)
+    for df in (score_all_items(model), recommend(model, train, 2, "matrix")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(u#" in x and " i#" in x.split("[")[0].split("),")[0]]
+    model.unpersist()
