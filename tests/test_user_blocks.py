@@ -1,11 +1,16 @@
 """Similarities made in blocks of users, against pairs that are shuffled."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from knnrec.operators import user_blocks
 from knnrec.operators.neighbors import slot_topk
 from knnrec.operators.similarity import mirror, similarity_half
+from knnrec.plans.approximate import (
+    candidate_similarities, level_candidates, part_arrays, part_similarities, part_topk, per_part_topk,
+)
 from knnrec.plans.exact import base_frames, fit_exact
 from tests.conftest import ratings_df
 from tests.fixtures import random_ratings
@@ -65,3 +70,31 @@ def test_all_similarities_without_a_shuffle_of_pairs(unit, monkeypatch, blocks,
     assert rows_of(got) == rows_of(user_blocks.turned(half)) == rows_of(mirror(similarity_half(unit)))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not any("(u#" in x and " v#" in x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def part_frames(unit, partitions=4, depth=1, order="keyed"):
+    arrays = part_arrays(unit.select("u").distinct(), partitions, depth, order)
+    return unit, arrays, partitions, depth
+
+
+def test_lists_and_pairs_of_parts_as_from_candidates(unit, monkeypatch):
+    monkeypatch.setattr(user_blocks, "HELD_PRODUCTS", 500)
+    frames = part_frames(unit.persist(), 5, 2)
+    cands = candidate_similarities(*frames, method="filter").persist()
+    assert rows_of(part_similarities(*frames, blocks=5)) == rows_of(cands.select("u", "v", "sim"))
+    n = 62  # negatives come into the lists
+    want = per_part_topk(level_candidates(cands, [2]), 59, n).drop("level")
+    assert rows_of(part_topk(*frames, 59, n, blocks=5)) == rows_of(want)
+
+
+def test_no_pair_is_shuffled_for_the_lists_of_parts(unit):
+    """Ratings and lists are: no exchange is by a pair."""
+    for df in (part_similarities(*part_frames(unit)), part_topk(*part_frames(unit), 3, 60)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan
+        assert not re.search(r"hashpartitioning\(u#\d+L, v#\d+L", plan)
+
+
+def test_ratings_are_shuffled_once_for_both_lists(unit):
+    plan = user_blocks.block_topk(unit, 3, 60, 100, 25)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(i#\d+", plan)) == 1
