@@ -8,33 +8,35 @@ classes above, two rows that share nothing else have at most the product of
 their rests in common (Cauchy-Schwarz). So:
 
 1. the classes that hold a small part of the products (``COLD_SHARE``) are
-   multiplied in full;
-2. each user's ``PROBES * k`` best partners so far get their exact similarity;
-   the k-th best of them is a threshold the final list must reach;
-3. a user's remaining classes are multiplied only up to the class above which
-   its own rest is below the threshold;
-4. pairs whose sum plus the bound of what is left stays below the threshold are
-   dropped, the others get the products left out.
+   multiplied in full, for each user's ``PROBES * k`` best partners so far;
+2. these get their exact similarity; the k-th best of them is a threshold the
+   final list must reach;
+3. a user's classes are multiplied only up to the class above which its own
+   rest is below the threshold. A user whose classes are all multiplied has its
+   sums whole, and its list is taken where they are made;
+4. of the other users' pairs those whose sum plus the bound of what is left stays
+   below the threshold are dropped, the others get the products left out.
 
 Users with fewer than k positive partners among their probes have no threshold
 and are multiplied in full, so zeros and negatives follow the slot rule of
-``neighbors.slot_topk`` unchanged. All steps are joins on an item or a pair and
-partial aggregates; a class holds at most 64 rows a user."""
+``neighbors.slot_topk`` unchanged. Products of steps 1 and 3 are summed in blocks of
+users (``user_blocks``): lists of raters are shuffled and pairs are not, so the rare
+classes are multiplied twice rather than kept. Steps 2 and 4 are joins of at
+most ``PROBES * k`` pairs a user, and of the pairs that the bound leaves."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from knnrec.functions.columns import SIM_DIGITS, snap
-from knnrec.operators.similarity import CELL_ROWS, blocked_join
+from knnrec.operators.item_profile import COLD_SHARE, ItemProfile, item_class, item_counts, item_profile
+from knnrec.operators.user_blocks import best_partners, id_type, near_partners, slots
 from knnrec.session import materialize
 
-#: Classes of rare items that together hold at most this share of the products
-#: are multiplied before any threshold is known.
-COLD_SHARE = 0.25
 #: Partners per wanted neighbour that are looked up for the threshold.
 PROBES = 2
 #: Room for rounding: sums of products in another order, snapped similarities.
@@ -42,54 +44,12 @@ SLACK = 1e-8
 TOP_CLASS = 64
 
 
-@dataclass
-class ItemProfile:
-    """Products (u < v) by item class: at most 64 numbers on the driver."""
-
-    products: dict[int, int]
-    largest: int
-
-    @property
-    def total(self) -> int:
-        return sum(self.products.values())
-
-    def cold_class(self, share: float = COLD_SHARE) -> int:
-        """The last class that is multiplied in full."""
-        seen, last = 0, -1
-        for c in sorted(self.products):
-            seen += self.products[c]
-            if seen > share * self.total:
-                break
-            last = c
-        return last
-
-    def skewed(self, cell_rows: int = CELL_ROWS) -> bool:
-        """Whether items of more than ``cell_rows`` raters make up most products."""
-        hot = sum(n for c, n in self.products.items() if 2 ** c > cell_rows)
-        return 2 * hot > self.total
-
-
-def item_class(count: Column) -> Column:
-    return F.floor(F.log2(count)).cast("int")
-
-
-def item_counts(unit: DataFrame) -> DataFrame:
-    return unit.groupBy("i").agg(F.count(F.lit(1)).alias("c"))
-
-
-def item_profile(counts: DataFrame) -> ItemProfile:
-    c = F.col("c").cast("decimal(38,0)")
-    by_class = counts.groupBy(item_class(F.col("c")).alias("cls")).agg(
-        F.sum(c * (c - 1) / 2).cast("decimal(38,0)").alias("n"), F.max("c").alias("largest"))
-    rows = by_class.collect()
-    return ItemProfile({r["cls"]: int(r["n"]) for r in rows}, max((r["largest"] for r in rows), default=0))
-
-
 def class_rests(rows: DataFrame) -> DataFrame:
-    """``(u, cls, rest)``: the norm of a user's row over the classes above."""
-    squares = rows.groupBy("u", "cls").agg(F.sum(F.col("w") * F.col("w")).alias("sq"))
+    """``(u, cls, products, rest)``: the products of a user's items of a class and
+    the norm of its row over the classes above."""
+    squares = rows.groupBy("u", "cls").agg(F.sum(F.col("w") * F.col("w")).alias("sq"), F.sum(F.col("c") - 1).alias("products"))
     above = Window.partitionBy("u").orderBy(F.col("cls").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return squares.select("u", "cls", F.sqrt(F.coalesce(F.sum("sq").over(above), F.lit(0.0))).alias("rest"))
+    return squares.select("u", "cls", "products", F.sqrt(F.coalesce(F.sum("sq").over(above), F.lit(0.0))).alias("rest"))
 
 
 def norms_above(warm: DataFrame, cold: int, profile: ItemProfile) -> DataFrame:
@@ -107,24 +67,35 @@ class TopKJoin:
 
     profile: ItemProfile
     cold: int
-    half: DataFrame  # (u, v, part): sums over the cold classes, u < v
+    k: int
     thresholds: DataFrame  # (u, t)
-    heads: DataFrame  # rows multiplied after the thresholds
-    candidates: DataFrame  # (u, v, part, t) that the bound leaves
-    similarities: DataFrame  # (u, v, sim), directed
+    heads: DataFrame  # rows of the other classes multiplied after the thresholds
+    candidates: DataFrame  # (u, v, part): pairs left by the bound, of users with products left out
+    found: DataFrame  # (u, v, sim, place, cnt): the k best of the other users
+    completed: DataFrame  # (u, v, sim): the candidates with all their products
+    whole: Callable[[], DataFrame]  # every nonzero (u, v, sim) of the other users
+
+    @property
+    def similarities(self) -> DataFrame:
+        """``(u, v, sim)``, directed: what ``slot_topk`` needs of them (for studies; the
+        sums are made once more)."""
+        return self.whole().unionByName(self.completed)
+
+    def neighbors(self, n_users: Column | int) -> DataFrame:
+        """``(u, v, sim, rank)``: ``slot_topk(similarities, k, n_users)``. A user with
+        products left out has k positives."""
+        order = Window.partitionBy("u").orderBy(F.col("sim").desc(), F.col("v").asc())
+        rest = self.completed.where("sim > 0").withColumn("rank", F.row_number().over(order).cast("long"))
+        return slots(self.found, self.k, n_users).unionByName(rest.where(F.col("rank") <= self.k))
 
     def products(self) -> dict[str, int]:
-        """Products of each stage (an action; for tests and studies)."""
+        """Products of each stage (an action; for tests and studies): of unordered
+        pairs, but for ``heads``, made for one of the two."""
         cold = sum(n for c, n in self.profile.products.items() if c <= self.cold)
         head = self.heads.agg(F.sum(F.col("c") - 1).alias("n")).first()["n"] or 0
         return {"all_pairs": self.profile.total, "cold": cold, "heads": head}
 
 
-def both_ways(half: DataFrame) -> DataFrame:
-    back = half.select(F.col("v").alias("u"), F.col("u").alias("v"), "part")
-    return half.select("u", "v", "part").unionByName(back)
-
-
 def pair_products(pairs: DataFrame, mine: DataFrame, others: DataFrame) -> DataFrame:
     """``(u, v, part)``: products of the pairs' rows, those of u from ``mine``,
     those of v from ``others``."""
@@ -135,57 +106,60 @@ def pair_products(pairs: DataFrame, mine: DataFrame, others: DataFrame) -> DataF
 
 def topk_join(unit: DataFrame, k: int, digits: int = SIM_DIGITS, persist: str = "table",
               cold_share: float = COLD_SHARE, probes: int = PROBES, **blocking) -> TopKJoin:
-    """Similarities that hold every user's top k under the slot rule:
-    ``slot_topk(topk_join(unit, k).similarities, k, n)`` equals the same over all
-    pairs. ``unit`` is ``(u, i, w)``, one row per (u, i)."""
-    counts = materialize(item_counts(unit), persist)
+    """Every user's top k under the slot rule: ``topk_join(unit, k).neighbors(n)`` equals
+    ``slot_topk`` over all pairs. ``unit`` is ``(u, i, w)``, one row per (u, i)."""
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    # no bound holds for a weight that is not a number: items with one are never left out
+    counts = materialize(unit.groupBy("i").agg(
+        F.count(F.lit(1)).alias("c"), F.coalesce(F.max(F.isnan("w")), F.lit(False)).alias("odd")), persist)
     profile = item_profile(counts)
     cold = profile.cold_class(cold_share)
-    tagged = unit.join(counts, "i").select("u", "i", "w", "c", item_class(F.col("c")).alias("cls"))
-    rests = materialize(class_rests(tagged), persist)
+    tagged = unit.join(counts, "i").select("u", "i", "w", "c", "odd", item_class(F.col("c")).alias("cls"))
     rows = materialize(tagged, persist)
+    rests = materialize(class_rests(rows), persist)
     warm = rows.where(F.col("cls") > cold)
+    blocking = {"ids": id_type(rows), **blocking}
 
-    # 1. the rare classes, each unordered pair once
+    # 1. the best partners by the rare classes
     rare = rows.where(F.col("cls") <= cold)
-    met = blocked_join(rare.select("i", "u", "w"),
-                       rare.select("i", F.col("u").alias("v"), F.col("w").alias("w_v")),
-                       ["i"], "u", "v", condition=lambda: F.col("u") < F.col("v"), self_join=True, **blocking)
-    half = materialize(met.groupBy("u", "v").agg(F.sum(F.col("w") * F.col("w_v")).alias("part")), persist)
-
-    # 2. thresholds from the exact similarities of the best partners so far
-    order = Window.partitionBy("u").orderBy(F.col("part").desc(), F.col("v"))
-    probed = both_ways(half).where("part > 0").withColumn("n", F.row_number().over(order)).where(F.col("n") <= probes * k)
-    probed = materialize(probed.select("u", "v", "part"), persist)
+    probed = best_partners(rare, probes * k, sum(n for c, n in profile.products.items() if c <= cold),
+                           min(profile.largest, 2 ** (cold + 1) - 1), digits, **blocking)
+    probed = materialize(probed.where("sim > 0").select("u", "v", F.col("sim").alias("part")), persist)
+
+    # 2. thresholds from their exact similarities
     added = pair_products(probed, warm, warm)
     exact = probed.unionByName(added).groupBy("u", "v").agg(snap(F.sum("part"), digits).alias("sim"))
     rank = Window.partitionBy("u").orderBy(F.col("sim").desc())
     kth = exact.where("sim > 0").withColumn("n", F.row_number().over(rank)).where(F.col("n") == k)
-    thresholds = kth.select("u", F.col("sim").alias("t"))
+    thresholds = kth.where(~F.isnan("sim")).select("u", F.col("sim").alias("t"))
 
-    # 3. how far up a user's classes must be multiplied
+    # 3. how far up a user's classes must be multiplied, and what those left out can add
+    low = F.col("rest") < F.col("t") - SLACK
     reach = rests.join(thresholds, "u").groupBy("u").agg(
-        F.max("t").alias("t"),
-        F.min(F.when(F.col("rest") < F.col("t") - SLACK, F.greatest("cls", F.lit(cold)))).alias("last"))
+        F.max("t").alias("t"), F.min(F.when(low, F.greatest("cls", F.lit(cold)))).alias("last"),
+        F.coalesce(F.max(F.when(low, F.col("rest"))), F.lit(0.0)).alias("tail"))
     reach = materialize(reach, persist)
-    limits = warm.join(reach, "u", "left")
-    last = F.coalesce("last", F.lit(TOP_CLASS))
-    heads = limits.where(F.col("cls") <= last).select("u", "i", "w", "c")
-    tails = limits.where(F.col("cls") > last).select("u", "i", "w")
-    met = blocked_join(heads.select("i", "u", "w"),
-                       warm.select("i", F.col("u").alias("v"), F.col("w").alias("w_v")),
-                       ["i"], "u", "v", condition=lambda: F.col("u") != F.col("v"), **blocking)
-    more = met.groupBy("u", "v").agg(F.sum(F.col("w") * F.col("w_v")).alias("part"))
-    sums = both_ways(half).unionByName(more).groupBy("u", "v").agg(F.sum("part").alias("part"))
+    limits = rows.join(reach, "u", "left")
+    made = (F.col("cls") <= cold) | (F.col("cls") <= F.coalesce("last", F.lit(TOP_CLASS)))
+    heads = limits.where((F.col("cls") > cold) & (made | F.col("odd"))).select("u", "i", "w", "c")
+    tails = limits.where(~(made | F.col("odd"))).select("u", "i", "w")
+    # a partner's row has at most norm 1
+    least = F.when(F.col("tail") > 0, F.col("t") - F.col("tail") - SLACK).otherwise(F.lit(float("-inf")))
+    asked = limits.select("u", "i", "w", (made | F.col("odd")).alias("asked"), least.alias("least"))
+    directed = rests.join(reach, "u", "left").where(made).agg(F.sum("products")).first()[0] or 0
+
+    def partners(every: bool) -> DataFrame:
+        return near_partners(asked, k, directed // 2, profile.largest, digits, every, **blocking)
+
+    found = materialize(partners(False), persist)
 
     # 4. what the classes left out can still add: both norms over them
-    tail = tails.groupBy("u").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("tail"))
-    facts = reach.join(tail, "u", "left").select("u", "t", "last", F.coalesce("tail", F.lit(0.0)).alias("tail"))
-    judged = sums.join(facts, "u", "left").join(norms_above(warm, cold, profile), "v", "left")
+    judged = found.where("place = 0").select("u", "v", F.col("sim").alias("part")).join(
+        reach, "u").join(norms_above(warm, cold, profile), "v", "left")
     bound = F.col("part") + F.col("tail") * F.coalesce(F.get("above", F.col("last") - F.lit(cold)), F.lit(0.0))
-    candidates = materialize(
-        judged.where(F.col("t").isNull() | (bound >= F.col("t") - SLACK)).select("u", "v", "part", "t"), persist)
-    rest = pair_products(candidates.where("t IS NOT NULL"), tails, warm)
-    whole = candidates.select("u", "v", "part").unionByName(rest).groupBy("u", "v").agg(
-        snap(F.sum("part"), digits).alias("sim"))
-    return TopKJoin(profile, cold, half, thresholds, heads, candidates, whole.where("sim <> 0"))
+    candidates = materialize(judged.where(bound >= F.col("t") - SLACK).select("u", "v", "part"), persist)
+    rest = pair_products(candidates, tails, warm)
+    whole = candidates.unionByName(rest).groupBy("u", "v").agg(snap(F.sum("part"), digits).alias("sim"))
+    return TopKJoin(profile, cold, k, thresholds, heads, candidates, found.where("place > 0"), whole.where("sim <> 0"),
+                    lambda: partners(True).where("place > 0").select("u", "v", "sim"))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from knnrec.operators.neighbors import slot_topk
 from knnrec.operators.predict import bounded_items, recommend, recommend_bounded, recommend_top_n, score_all_items
@@ -66,6 +67,36 @@ def test_skewed_table_needs_few_products(spark):
     assert join.thresholds.count() < len({r[0] for r in want})
 
 
+@pytest.mark.parametrize("options", [{}, {"blocks": 7, "block_rows": 20}])
+def test_lists_end_where_their_sums_are_made(spark, options):
+    """Pairs of users multiplied in full are no candidates, however many they are."""
+    join, got, want = both(spark, zipf_ratings(), 40, probes=1, **options)
+    n = base_frames(ratings_df(spark, zipf_ratings())).n_users
+    assert join.candidates.count() <= join.thresholds.count() * 160 and join.thresholds.count() < 100
+    assert join.found.count() <= 160 * 40
+    assert {tuple(r) for r in join.neighbors(n).collect()} == got == want
+
+
+def test_items_with_a_weight_that_is_no_number_are_multiplied(spark):
+    """No bound holds for them. NaN is above all other similarities."""
+    _, _, unit, _, _ = base_frames(ratings_df(spark, taste_ratings()))
+    odd = unit.withColumn("w", F.when((F.col("u") == 70) & (F.col("i") == 3), float("nan")).otherwise(F.col("w")))
+    join = topk_join(odd, 5)
+    text = lambda df: sorted(repr((r.u, r.v, round(r.sim, 8), r["rank"])) for r in df.collect())
+    assert text(join.neighbors(480)) == text(slot_topk(mirror(similarity_half(odd)), 5, 480))
+    assert join.candidates.count() > 0
+
+
+def test_bounded_sums_are_not_shuffled_as_pairs(spark):
+    """What a fit writes of pairs without a threshold is the lists, not every pair."""
+    train = ratings_df(spark, random_ratings(60, 25, 0.3, 5))
+    _, _, unit, _, n = base_frames(train)
+    join = topk_join(unit, 3, cold_share=0.0)
+    assert join.thresholds.count() == 0 and join.candidates.count() == 0
+    assert {tuple(r) for r in join.neighbors(n).collect()} == {
+        tuple(r) for r in slot_topk(mirror(similarity_half(unit)), 3, n).collect()}
+
+
 def test_profile_and_choice(spark):
     _, _, unit, _, _ = base_frames(ratings_df(spark, taste_ratings()))
     counts = {r["i"]: r["c"] for r in item_counts(unit).collect()}
