@@ -154,3 +154,13 @@ def test_recommendations_shuffle_lists_and_no_contributions(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(u#" in x and " i#" in x.split("[")[0].split("),")[0]]
     model.unpersist()
+
+
+def test_bounded_recommendations_score_items_where_the_lists_meet(spark):
+    """Only probes are looked up by (neighbour, item)."""
+    train = ratings_df(spark, random_ratings(40, 20, 0.3, 8))
+    model = fit_exact(train, 3)
+    plan = recommend_bounded(model, train, 2)._jdf.queryExecution().executedPlan().toString()
+    lookups = [x for x in plan.splitlines() if "Join" in x and " [v#" in x and "i#" in x.split("[v#")[1].split("]")[0]]
+    assert len(lookups) == 1
+    model.unpersist()
