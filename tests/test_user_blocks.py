@@ -98,3 +98,61 @@ def test_no_pair_is_shuffled_for_the_lists_of_parts(unit):
 def test_ratings_are_shuffled_once_for_both_lists(unit):
     plan = user_blocks.block_topk(unit, 3, 60, 100, 25)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(i#\d+", plan)) == 1
+
+
+def wide_ratings(spark):
+    """Users that meet few of the others, as ``coarse_fits`` asks."""
+    return ratings_df(spark, random_ratings(300, 400, 0.012, 11))
+
+
+@pytest.mark.parametrize("blocks, block_rows, held", [(1, 2_000, 2_000_000), (9, 3, 40), (9, 2, 1)])
+def test_coarse_lists_give_the_lists_of_all_pairs(spark, monkeypatch, blocks, block_rows, held):
+    monkeypatch.setattr(user_blocks, "HELD_PRODUCTS", held)
+    unit = base_frames(wide_ratings(spark), "none").unit.persist()
+    options = {"block_rows": block_rows, "blocks": blocks}
+    for k in (1, 4, 60):
+        want = rows_of(slot_topk(mirror(similarity_half(unit)), k, 300))
+        assert want == rows_of(user_blocks.coarse_topk(unit, k, 0, **options))
+    assert rows_of(user_blocks.coarse_topk(unit, 4, 0, 40, blocks=7)) == rows_of(slot_topk(mirror(similarity_half(unit)), 4, 300))
+
+
+def test_coarse_lists_of_repeated_and_missing_ratings(spark):
+    unit = base_frames(wide_ratings(spark), "none").unit
+    odd = unit.unionByName(unit.where("(u + i) % 3 = 0").withColumn("w", F.col("w") / 2))
+    odd = odd.withColumn("w", F.when(F.col("u") % 11 != 0, F.col("w"))).withColumn("i", F.when(F.col("i") != 7, F.col("i"))).persist()
+    want = rows_of(slot_topk(mirror(similarity_half(odd)), 5, 300))
+    assert rows_of(user_blocks.coarse_topk(odd, 5, 0, blocks=5)) == want
+
+
+def test_equal_similarities_in_coarse_lists(spark):
+    """Weights that one step does not tell apart; ties go to the lower id."""
+    rows = [(u, i, w) for u in range(40) for i, w in ((0, 0.6 + (u % 3) * 1e-6), (u + 1, 0.8))]
+    unit = spark.createDataFrame(rows, "u long, i long, w double")
+    want = rows_of(slot_topk(mirror(similarity_half(unit)), 3, 1000))
+    assert rows_of(user_blocks.coarse_topk(unit, 3, 0, blocks=3)) == want
+
+
+def test_where_coarse_lists_fit(spark):
+    unit = spark.createDataFrame([(1, 1, 0.5), (2, 1, -1.0)], "u long, i long, w double")
+    assert user_blocks.coarse_fits(unit, 3, 100, 10, 10)
+    assert not user_blocks.coarse_fits(unit, 10, 100, 10, 10)  # a user may meet 90 others
+    for w in (1.5, float("nan"), float("inf")):
+        assert not user_blocks.coarse_fits(unit.withColumn("w", F.lit(w)), 3, 100, 10, 10)
+    assert user_blocks.coarse_fits(unit.limit(0), 3, 100, 0, 0)
+
+
+def test_a_fit_takes_coarse_lists_where_they_fit(spark):
+    train = wide_ratings(spark)
+    model = fit_exact(train, 3, persist="none")
+    plan = model.neighbors._jdf.queryExecution().executedPlan().toString()
+    assert "as tinyint" in plan and not re.search(r"hashpartitioning\(u#\d+L, v#\d+L", plan)
+    unit = base_frames(train, "none").unit
+    assert rows_of(model.neighbors) == rows_of(slot_topk(mirror(similarity_half(unit)), 3, 300))
+
+
+def test_tasks_of_lists_follow_the_products(spark, unit):
+    """Not the bytes they read, of which the lists are a multiple."""
+    few, many = (user_blocks.list_tasks(unit, n) for n in (100, 2 * 10 ** 9))
+    assert few == spark.sparkContext.defaultParallelism and many == 1000
+    plan = user_blocks.block_topk(unit, 3, 60, 10 ** 8, 25)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(i#\d+L, 50\), REPARTITION_BY_NUM", plan)
