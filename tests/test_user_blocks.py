@@ -156,3 +156,10 @@ def test_tasks_of_lists_follow_the_products(spark, unit):
     assert few == spark.sparkContext.defaultParallelism and many == 1000
     plan = user_blocks.block_topk(unit, 3, 60, 10 ** 8, 25)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(i#\d+L, 50\), REPARTITION_BY_NUM", plan)
+
+
+@pytest.mark.parametrize("shift", [0, 255, 70_000, 2 ** 40, -5, -2 ** 62])
+def test_ids_of_coarse_lists_are_kept_whole(spark, shift):
+    unit = base_frames(wide_ratings(spark), "none").unit.withColumn("u", F.col("u") + F.lit(shift))
+    want = rows_of(slot_topk(mirror(similarity_half(unit)), 3, 300))
+    assert rows_of(user_blocks.coarse_topk(unit, 3, 0, 40, blocks=4)) == want
