@@ -476,3 +476,29 @@ def test_hot_user_under_forced_skew_splitting(spark):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_neighbours_items_are_lists_of_two_arrays(spark):
+    from knnrec.operators.predict import neighbor_items
+
+    model = fit_exact(ratings_df(spark, random_ratings(30, 12, 0.4, seed=4)), 4)
+    lists = neighbor_items(model, made=10 ** 9, ids="int")
+    assert dict(lists.dtypes) == {"u": "bigint", "sim": "double", "items": "array<int>", "devs": "array<double>"}
+    assert lists.where("array_sort(devs) <> devs OR size(items) <> size(devs)").count() == 0
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 250), REPARTITION_BY_NUM") == 2  # tasks follow what they make
+    model.unpersist()
+
+
+def test_items_beyond_an_int_are_recommended(spark):
+    from knnrec.operators.predict import recommend
+
+    rows = random_ratings(30, 12, 0.4, seed=4)
+    far = 2 ** 40
+    got = {}
+    for shift in (0, far):
+        train = ratings_df(spark, [(u, i + shift, r) for u, i, r in rows])
+        model = fit_exact(train, 4)
+        got[shift] = {(r.u, r.i - shift, round(r.prediction, 9), r.rank) for r in recommend(model, train, 3, "matrix").collect()}
+        model.unpersist()
+    assert got[0] == got[far] and got[0]
